@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from almazara.functions.durations import duration_seconds
-from almazara.operators import grid, spatial, timestamps, units, wide
+from almazara.operators import grid, spatial, spikes, timestamps, units, wide
 from almazara.runtime import table
 
 #: How the catalogue's IRIs are abbreviated (a parameter of the data set).
@@ -93,3 +93,16 @@ def p7_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (p1_found, p1_grid, p2_found, p2_converted, p3_found, p4_found, p4_wide, p7_found, p7_instants)}
+
+
+def p6_scored(spark: SparkSession, d: str) -> DataFrame:
+    """Every reading with its isolation score and kind of fault."""
+    return spikes.flag_readings(table(spark, d, "measurements"), table(spark, d, "unit_factors"), table(spark, d, "devices"))
+
+
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    """Readings that cannot be true, with the kind of fault."""
+    return p6_scored(spark, d).where(F.col("kind").isNotNull()).select("measurement_id", "kind")
+
+
+QUERIES |= {f.__name__: f for f in (p6_found, p6_scored)}
