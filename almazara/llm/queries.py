@@ -4,10 +4,45 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from almazara.llm import spam
+from almazara.llm import mixing, ocr, packing, spam, tokens
 from almazara.runtime import table
 
 
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    """Joined words, corrected words and furniture lines of scanned speeches."""
+    return ocr.find_repairs(table(spark, d, "intervenciones")).select("intervention_id", "kind", "fix").distinct()
+
+
+def p5_repaired(spark: SparkSession, d: str) -> DataFrame:
+    """Every speech as continuous, corrected paragraphs."""
+    return ocr.repair_texts(table(spark, d, "intervenciones"))
+
+
+def _capacities(spark: SparkSession, d: str) -> list[tuple[str, int]]:
+    return [(r.pack_name, r.capacity_tokens) for r in table(spark, d, "pack_capacities").orderBy("pack_name").collect()]
+
+
+def p8_packed(spark: SparkSession, d: str) -> DataFrame:
+    """The container of every document (or piece of one) for every capacity."""
+    return packing.pack_items(tokens.token_sizes(table(spark, d, "documents")), _capacities(spark, d))
+
+
+def p8_fill(spark: SparkSession, d: str) -> DataFrame:
+    """How full the containers are."""
+    return packing.pack_report(p8_packed(spark, d), _capacities(spark, d))
+
+
+def p9_mixture(spark: SparkSession, d: str) -> DataFrame:
+    """The documents of the mixture, with pass and block."""
+    return mixing.draw_mixture(tokens.token_sizes(table(spark, d, "documents")), table(spark, d, "mix_targets"))
+
+
+def p9_shares(spark: SparkSession, d: str) -> DataFrame:
+    """Target and actual share of every source."""
+    sizes, targets = tokens.token_sizes(table(spark, d, "documents")), table(spark, d, "mix_targets")
+    return mixing.mixture_report(mixing.draw_mixture(sizes, targets), sizes, targets)
+
+
 def p10_scored(spark: SparkSession, d: str) -> DataFrame:
     """Every document with its share of spam shapes."""
     return spam.page_scores(table(spark, d, "documents"))
@@ -18,4 +53,4 @@ def p10_found(spark: SparkSession, d: str) -> DataFrame:
     return p10_scored(spark, d).where("flagged").select("doc_id").distinct()
 
 
-QUERIES = {f.__name__: f for f in (p10_found, p10_scored)}
+QUERIES = {f.__name__: f for f in (p5_found, p5_repaired, p8_packed, p8_fill, p9_mixture, p9_shares, p10_found, p10_scored)}
