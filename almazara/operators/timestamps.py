@@ -41,7 +41,7 @@ def _month_number(text: Column) -> Column:
     """Number of a month in digits, or of its Spanish or English name or short form."""
     known = {name: i + 1 for names in (MONTHS_SHORT_EN, MONTHS_SHORT_ES, MONTHS_ES) for i, name in enumerate(names)} | OTHER_MONTHS
     named = F.create_map(*[F.lit(x) for pair in known.items() for x in pair])
-    return F.coalesce(text.try_cast("int"), F.try_element_at(named, F.lower(text)))
+    return F.when(text.rlike(r"^\d{1,2}$"), text.cast("int")).otherwise(F.try_element_at(named, F.lower(text)))
 
 
 def parsed(text: Column) -> Column:
@@ -71,9 +71,14 @@ def _parts(t: Column) -> Column:
     return F.split(out, r"\|", -1)
 
 
+def _number(text: Column) -> Column:
+    """Whole number of up to nine digits; null for an empty part (a failed cast would cost an exception)."""
+    return F.when(text != "", text.cast("int"))
+
+
 def _epoch(t: Column) -> Column:
     scale = F.when(F.length(t) <= 10, 1_000_000).when(F.length(t) <= 13, 1_000).otherwise(1).cast("long")
-    us = t.try_cast("long") * scale
+    us = t.cast("long") * scale
     return F.struct(us.alias("instant_us"), F.timestamp_micros(us).cast("timestamp_ntz").alias("local"), F.lit(True).alias("has_time"))
 
 
@@ -82,17 +87,18 @@ def _instant(p: Column) -> Column:
     half, zone = F.upper(p[7]), F.upper(p[8])
     # Month first where AM or PM stands.
     month, day = F.when(half != "", p[2]).otherwise(p[1]), F.when(half != "", p[1]).otherwise(p[2])
-    year = p[0].try_cast("int") + F.when(F.length(p[0]) == 2, 2000).otherwise(0)
-    clock = F.coalesce(p[3].try_cast("int"), F.lit(0))
+    year = _number(p[0]) + F.when(F.length(p[0]) == 2, 2000).otherwise(0)
+    clock = F.coalesce(_number(p[3]), F.lit(0))
     good = F.when(half != "", clock.between(1, 12)).otherwise(clock < 24)
     hour = F.when(half == "", clock).otherwise(F.pmod(clock, F.lit(12)) + F.when(half == "PM", 12).otherwise(0))
-    second = F.coalesce(p[5].try_cast("int"), F.lit(0))
-    micros = F.coalesce(F.rpad(F.substring(p[6], 1, 6), 6, "0").try_cast("int"), F.lit(0))
-    local = F.try_make_timestamp_ntz(year, _month_number(month), day.try_cast("int"), hour, F.coalesce(p[4].try_cast("int"), F.lit(0)), (second.cast("decimal(8,6)") + micros.cast("decimal(16,6)") / 1_000_000).cast("decimal(16,6)"))
+    second = F.coalesce(_number(p[5]), F.lit(0))
+    micros = F.coalesce(F.when(p[6] != "", F.rpad(F.substring(p[6], 1, 6), 6, "0").cast("int")), F.lit(0))
+    local = F.try_make_timestamp_ntz(year, _month_number(month), _number(day), hour, F.coalesce(_number(p[4]), F.lit(0)), (second.cast("decimal(8,6)") + micros.cast("decimal(16,6)") / 1_000_000).cast("decimal(16,6)"))
     known = F.create_map(*[F.lit(x) for pair in ABBREVIATIONS.items() for x in pair])
     digits = F.regexp_replace(zone, "[+:-]", "")
-    minutes = F.substring(digits, 1, 2).try_cast("int") * 60 + F.coalesce(F.substring(digits, 3, 2).try_cast("int"), F.lit(0))
-    offset = F.when(zone.rlike(r"^[+-]"), F.when(minutes <= 18 * 60, F.when(zone.startswith("-"), -minutes).otherwise(minutes))).otherwise(F.try_element_at(known, zone))
+    signed = zone.rlike(r"^[+-]")
+    minutes = F.substring(digits, 1, 2).cast("int") * 60 + F.coalesce(_number(F.substring(digits, 3, 2)), F.lit(0))
+    offset = F.when(signed, F.when(minutes <= 18 * 60, F.when(zone.startswith("-"), -minutes).otherwise(minutes))).otherwise(F.try_element_at(known, zone))
     # A wall-clock time taken as UTC, less its offset, is the instant.
     as_struct = lambda at: F.when(at.isNotNull() & good & (second < 60) & ((zone == "") | offset.isNotNull()), F.struct(F.when(zone != "", F.unix_micros(at.cast("timestamp")) - offset.cast("long") * 60_000_000).alias("instant_us"), at.alias("local"), (p[3] != "").alias("has_time")))
     return let(local, as_struct)
