@@ -106,3 +106,22 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES |= {f.__name__: f for f in (p6_found, p6_scored)}
+
+
+#: Brute-force SQL of the same results, where SQL can say them.
+ORACLES = {
+    "p1_found": """
+        WITH p AS (
+            SELECT zone_key, timestamp_utc, price, CASE WHEN resolution IN ('PT15M', 'PT0H15M', 'PT900S') THEN 15 WHEN resolution IN ('PT30M', 'PT1800S', 'PT0H30M') THEN 30 WHEN resolution IN ('PT60M', 'PT1H', 'PT1H0M', 'PT3600S') THEN 60 END AS minutes
+            FROM day_ahead_prices),
+        c AS (SELECT zone_key, minutes, epoch_us(timestamp_utc) // (CAST(minutes AS BIGINT) * 60000000) AS cell, price FROM p WHERE minutes IS NOT NULL AND zone_key IS NOT NULL AND timestamp_utc IS NOT NULL),
+        g AS (SELECT zone_key, minutes, unnest(range(min(cell), max(cell) + 1)) AS cell FROM c GROUP BY 1, 2)
+        SELECT zone_key, CAST(minutes AS BIGINT) AS step_minutes, CAST(cell * minutes * 60 AS BIGINT) AS period_epoch
+        FROM g ANTI JOIN (SELECT zone_key, minutes, cell FROM c WHERE price IS NOT NULL AND NOT isnan(price)) USING (zone_key, minutes, cell)
+    """,
+    "p3_found": """
+        SELECT site_id, measurement_id
+        FROM (SELECT measurement_id, latitude AS la, longitude AS lo FROM measurements WHERE latitude BETWEEN -90 AND 90 AND longitude BETWEEN -180 AND 180 AND NOT isnan(latitude) AND NOT isnan(longitude)) m
+        JOIN sites s ON 2 * 6371008.8 * asin(least(1, sqrt(power(sin(radians(s.latitude - la) / 2), 2) + cos(radians(la)) * cos(radians(s.latitude)) * power(sin(radians(s.longitude - lo) / 2), 2)))) <= s.radius_m
+    """,
+}
