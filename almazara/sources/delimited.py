@@ -63,17 +63,23 @@ def read_measurements(spark: SparkSession, path: str) -> DataFrame:
     return measurement_rows(spark.read.csv(path, header=True, schema=", ".join(f"`{c}` string" for c in MEASUREMENT_HEADER), enforceSchema=False))
 
 
-def earthquake_rows(fields: Column, source_format: str) -> list[Column]:
-    """Columns of an earthquake record from its fields as an array of texts."""
-    f = lambda i: F.nullif(F.trim(F.get(fields, F.lit(i))), F.lit(""))
-    place = text.repair_mojibake(f(9))
-    none = lambda c: F.when(~F.lower(c).isin("null", "-1"), c)
-    return [f(0).alias("event_id"), temporal.utc_day_time(f(1), f(2)).alias("occurred_at_utc"), numbers.lenient_double(f(3)).alias("latitude"), numbers.lenient_double(f(4)).alias("longitude"), numbers.lenient_double(f(5)).alias("depth_km"), none(f(6)).alias("maximum_intensity"), text.intensity_number(f(6)).alias("maximum_intensity_numeric"), numbers.lenient_double(f(7)).alias("magnitude"), none(f(8)).alias("magnitude_type_code"), place.alias("location"), F.lit(source_format).alias("source_format")]
+#: Places of an earthquake's fields in a semicolon row and in a table row.
+CSV_PLACES = {"event_id": 0, "day": 1, "time": 2, "latitude": 3, "longitude": 4, "depth_km": 5, "intensity": 6, "magnitude": 7, "magnitude_type_code": 8, "location": 9}
+TABLE_PLACES = {"event_id": 0, "day": 1, "time": 2, "latitude": 4, "longitude": 5, "depth_km": 6, "magnitude": 7, "magnitude_type_code": 8, "intensity": 9, "location": 10}
 
 
-# Suffixes of foreign and Spanish places that earthquake lists use.
-FOREIGN = {"FRA": ("FR", "France"), "POR": ("PT", "Portugal"), "MAC": ("MA", "Morocco"), "ARG": ("DZ", "Algeria"), "AND": ("AD", "Andorra"), "ITA": ("IT", "Italy")}
-SPANISH = {"A", "AB", "AL", "AV", "B", "BA", "BI", "BU", "C", "CA", "CC", "CE", "CO", "CR", "CS", "CU", "GC", "GI", "GR", "GU", "H", "HU", "IB", "J", "L", "LE", "LO", "LP", "LU", "M", "MA", "ML", "MU", "NA", "O", "OR", "OU", "P", "PM", "PO", "S", "SA", "SE", "SG", "SO", "SS", "T", "TE", "TF", "TO", "V", "VA", "VI", "Z", "ZA", "ILP", "IGC", "ITF", "IHI"}
+def earthquake_rows(fields: Column, places: dict[str, int], source_format: str) -> list[Column]:
+    """Columns of an earthquake record from its fields as an array of texts; blank, ``null`` and ``-1`` are no value."""
+    f = lambda name: F.nullif(F.trim(F.get(fields, F.lit(places[name]))), F.lit(""))
+    told = lambda c, none: F.when(~F.lower(c).isin(*none), c)
+    intensity, kind = told(f("intensity"), ["-1"]), told(f("magnitude_type_code"), ["null"])
+    number = lambda name: numbers.lenient_double(f(name)).alias(name)
+    return [f("event_id").alias("event_id"), temporal.utc_day_time(f("day"), f("time")).alias("occurred_at_utc"), number("latitude"), number("longitude"), number("depth_km"), intensity.alias("maximum_intensity"), text.intensity_number(intensity).alias("maximum_intensity_numeric"), number("magnitude"), kind.alias("magnitude_type_code"), text.repair_mojibake(f("location")).alias("location"), F.lit(source_format).alias("source_format")]
+
+
+# Suffixes of foreign and Spanish places in earthquake lists.
+FOREIGN = {"AND": ("AD", "Andorra"), "ARG": ("DZ", "Algeria"), "FR": ("FR", "France"), "FRA": ("FR", "France"), "MAC": ("MA", "Morocco"), "POR": ("PT", "Portugal")}
+SPANISH = set("A AB AL AV B BA BI BU C CA CC CE CO CR CS CU F FV G GC GE GI GR GU H HE HU I IB IBZ IFV IG IGC IGM IHI IL ILP ILZ IMA IME ITF J L LE LO LP LU LZ M MA ML MU N NA O OR OU P PM PO S SA SE SG SO SS T TE TF TO V VA VI Z ZA".split())
 
 
 def with_country(df: DataFrame) -> DataFrame:
@@ -87,15 +93,15 @@ def read_earthquake_csv(spark: SparkSession, path: str) -> DataFrame:
     lines = archive_lines(spark, [path], errors="replace")
     rows = lines.where((F.col("line_number") > 1) & (F.trim("value") != "")).select(F.split("value", ";", -1).alias("f"), "line_number")
     sound = F.when(F.size("f") >= 10, F.col("f")).otherwise(F.raise_error(F.concat(F.lit("too few fields in line "), F.col("line_number").cast("string"))))
-    return with_country(rows.select(sound.alias("f")).select(*earthquake_rows(F.col("f"), "csv")))
+    return with_country(rows.select(sound.alias("f")).select(*earthquake_rows(F.col("f"), CSV_PLACES, "csv")))
 
 
 def marginal_price_rows(lines: DataFrame) -> DataFrame:
-    """Hourly prices of lines ``year;month;day;hour;price;price;``; other lines are left out. SRC-08, FLT-04."""
+    """Hourly prices of lines ``year;month;day;hour;price;price;``; one price stands for both, other lines are left out. SRC-08, FLT-04."""
     parts = F.filter(F.transform(F.split("value", ";"), lambda p: F.trim(p)), lambda p: p != "")
-    rows = lines.select(parts.alias("p")).where((F.size("p") >= 6) & F.get("p", F.lit(0)).rlike(r"^\d+$"))
+    rows = lines.select(parts.alias("p")).where((F.size("p") >= 5) & F.get("p", F.lit(0)).rlike(r"^\d+$"))
     n = lambda i, kind: numbers.strict_int(F.get("p", F.lit(i)), kind)
-    rows = rows.select(F.try_make_timestamp_ntz(n(0, "int"), n(1, "int"), n(2, "int"), F.lit(0), F.lit(0), F.lit(0).cast("decimal(16,6)")).cast("date").alias("date"), n(0, "smallint").alias("year"), n(1, "tinyint").alias("month"), n(2, "tinyint").alias("day"), n(3, "tinyint").alias("hour"), numbers.spanish_double(F.get("p", F.lit(4))).alias("price_es"), numbers.spanish_double(F.get("p", F.lit(5))).alias("price_pt"))
+    rows = rows.select(F.try_make_timestamp_ntz(n(0, "int"), n(1, "int"), n(2, "int"), F.lit(0), F.lit(0), F.lit(0).cast("decimal(16,6)")).cast("date").alias("date"), n(0, "smallint").alias("year"), n(1, "tinyint").alias("month"), n(2, "tinyint").alias("day"), n(3, "tinyint").alias("hour"), numbers.spanish_double(F.get("p", F.lit(4))).alias("price_es"), numbers.spanish_double(F.when(F.size("p") >= 6, F.get("p", F.lit(5))).otherwise(F.get("p", F.lit(4)))).alias("price_pt"))
     whole = F.col("date").isNotNull() & F.col("hour").isNotNull() & F.col("price_es").isNotNull() & F.col("price_pt").isNotNull()
     return schemas.conform(rows.where(whole), "omie.marginal_prices")
 

@@ -152,7 +152,7 @@ def ballot_tables(documents: DataFrame, legislature: int) -> dict[str, DataFrame
     b = documents.select(F.from_json("text", BALLOT).alias("b")).where(F.col("b.informacion").isNotNull() | F.col("b.totales").isNotNull()).select("b.*")
     i, t = (lambda k: F.col(f"informacion.{k}")), (lambda k: F.col(f"totales.{k}"))
     head = [F.lit(legislature).cast("smallint").alias("legislature"), number_or_zero(i("sesion")).alias("session_number"), number_or_zero(i("numeroVotacion")).alias("vote_number"), text_or_blank(i("fecha")).alias("date"), text_or_blank(i("titulo")).alias("title")]
-    ballots = b.select(*head, text_or_blank(i("textoExpediente")).alias("expediente"), text_or_blank(i("tituloSubGrupo")).alias("subgroup_title"), text_or_blank(i("textoSubGrupo")).alias("subgroup_text"), text_or_blank(t("asentimiento")).alias("asentimiento"), *[number_or_zero(t(a)).alias(n) for a, n in (("presentes", "presentes"), ("afavor", "afavor"), ("enContra", "en_contra"), ("abstenciones", "abstenciones"), ("noVotan", "no_votan"))])
+    ballots = b.select(*head, text_or_blank(i("textoExpediente")).alias("expediente"), text_or_blank(i("tituloSubGrupo")).alias("subgroup_title"), text_or_blank(i("textoSubGrupo")).alias("subgroup_text"), F.coalesce(F.nullif(t("asentimiento"), F.lit("")), F.lit("No")).alias("asentimiento"), *[number_or_zero(t(a)).alias(n) for a, n in (("presentes", "presentes"), ("afavor", "afavor"), ("enContra", "en_contra"), ("abstenciones", "abstenciones"), ("noVotan", "no_votan"))])
     votes = b.select(*head, F.explode("votaciones").alias("v")).select("legislature", "session_number", "vote_number", "date", "title", *[text_or_blank(F.col(f"v.{a}")).alias(n) for a, n in (("diputado", "deputy_name"), ("grupo", "parliamentary_group"), ("asiento", "seat"), ("voto", "vote"))])
     return {"initiatives": schemas.conform(ballots, "congreso.initiatives"), "deputy_votes": schemas.conform(votes, "congreso.deputy_votes")}
 
