@@ -67,6 +67,21 @@ def largest_total(tokens: dict[str, int], targets: dict[str, float], repeats: di
     return min((repeats[s] * tokens[s] * whole / t for s, t in here.items()), default=0.0)
 
 
+def budgets_within(weights: dict[str, float], limits: dict[str, int], total: float) -> dict[str, int]:
+    """Tokens of each source: its weight of the total, and what limits keep back goes to the others in proportion."""
+    budget, open_, left = dict.fromkeys(weights, 0), {s for s, w in weights.items() if w > 0}, total
+    while open_ and left > 0.5:
+        whole = sum(weights[s] for s in open_)
+        full = {s for s in open_ if weights[s] / whole * left >= limits[s] - budget[s]}
+        if not full:
+            return budget | {s: budget[s] + int(weights[s] / whole * left + 1e-6) for s in open_}
+        for s in full:
+            left -= limits[s] - budget[s]
+            budget[s] = limits[s]
+        open_ -= full
+    return budget
+
+
 def _plan(sizes: DataFrame, targets: DataFrame, total_tokens: float | None):
     rows = [r for r in targets.where(F.col("source").isNotNull()).collect()]
     share = {r.source: max(float(r.target_share or 0), 0.0) for r in rows}
@@ -76,7 +91,7 @@ def _plan(sizes: DataFrame, targets: DataFrame, total_tokens: float | None):
     tokens = {s: int(found.get(s, 0)) for s in share}
     total = largest_total(tokens, share, repeats) if total_tokens is None else min(total_tokens, sum(repeats[s] * tokens[s] for s in share if share[s] > 0))
     weights, exponent = weights_within(tokens, share, repeats, total)
-    budget = {s: min(int(weights[s] * total + 1e-6), repeats[s] * tokens[s]) for s in share}
+    budget = budgets_within(weights, {s: repeats[s] * tokens[s] for s in share}, total)
     return share, repeats, tokens, budget, exponent
 
 
@@ -90,7 +105,8 @@ def draw_mixture(sizes: DataFrame, targets: DataFrame, *, total_tokens: float |
     ``sizes``: item_id, doc_id, source, tokens; ``targets``: source,
     target_share, max_repeats (a few rows). Without ``total_tokens`` the mixture
     is the largest in which every target is met; a larger total bends the
-    weights toward the natural shares by the exponent until the limits hold.
+    weights toward the natural shares by the exponent until the limits hold; where
+    they cannot, what limits keep back goes to the other sources.
     Documents without a source or of a source without target are not drawn;
     a source without documents leaves its share to the others in proportion. A
     source's tokens stay within its budget by less than one document.
