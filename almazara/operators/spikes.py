@@ -28,7 +28,7 @@ HALO_ROWS = 64
 SLOT_S = 600
 TREES, SAMPLE, DEPTH = 48, 128, 7
 #: Score from which a reading counts as isolated and is put to the exact rule.
-ISOLATED = 0.5
+ISOLATED = 0.45
 STUCK_RUN = 10
 SPIKE_RUN = 3
 SPREADS = 7.0
