@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from almazara.operators.relational import numbered_shards
+
 
 def value_counts(df: DataFrame, column: str, k: int | None = None, *, nulls: bool = False) -> DataFrame:
     """(value, n) of a column, most frequent first, ties by value; nulls only on request. AG-04, AG-05, LM-01."""
@@ -134,15 +136,10 @@ def floor_mean(df: DataFrame, group: str, column: str) -> DataFrame:
 def sorted_distinct(df: DataFrame, column: str) -> DataFrame:
     """(position, value): distinct present values in order, position from 0. AG-17.
 
-    As rows, so that no list of all values is gathered; positions come from
-    counts of ranges of values, numbered range by range.
+    As rows, so that no list of all values is gathered.
     """
     values = df.where(F.col(column).isNotNull()).select(F.col(column).alias("value")).distinct()
-    ranged = values.repartitionByRange("value").withColumn("part", F.spark_partition_id())
-    sizes = ranged.groupBy("part").agg(F.count("*").alias("n"))
-    before = F.coalesce(F.sum("n").over(Window.partitionBy(F.lit(1)).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    number = F.row_number().over(Window.partitionBy("part").orderBy("value"))
-    return ranged.withColumn("number", number).join(sizes.select("part", before.alias("before")), "part").select((F.col("before") + F.col("number") - 1).alias("position"), "value")
+    return numbered_shards(values, ["value"], 1).select(F.col("shard").alias("position"), "value")
 
 
 def bucket_counts(df: DataFrame, column: str, missing: str = "unassigned") -> DataFrame:

@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from almazara.runtime import materialize
+
 
 def matched(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     """Rows of both sides with equal keys. JN-01, JN-04, JN-14."""
@@ -114,9 +116,11 @@ def numbered_shards(df: DataFrame, order: list[str], rows_per_shard: int) -> Dat
     """``df`` with ``shard``: exactly ``rows_per_shard`` rows each but the last, in order. WN-08, SNK-01, SNK-03.
 
     Rows are ranged by the order, counted per range, and numbered inside each
-    range after the counts of those before it: no global sort in one task.
+    range after the counts of those before it: no global sort in one task. The
+    ranges come from a sample, so they are written down before both uses. Rows
+    equal in the order may be numbered either way.
     """
-    ranged = df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id())
+    ranged = materialize(df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()), "ranges")
     sizes = ranged.groupBy("_part").agg(F.count("*").alias("_n"))
     before = F.coalesce(F.sum("_n").over(Window.partitionBy(F.lit(1)).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     number = F.row_number().over(Window.partitionBy("_part").orderBy(*order))
