@@ -36,6 +36,9 @@ PREFIX_COST = {"n": -0.1, "u": -0.1, "m": -0.2, "k": -2.0, "c": -4.0}
 #: Size of one unit of each code in base units (sieverts or roentgens an hour, counts a minute).
 CODES = {"cpm": ("count", 60, 1.0), "cps": ("count", 1, 1.0), "usvh": ("dose", 3600, 1e-6), "nsvh": ("dose", 3600, 1e-9), "msvh": ("dose", 3600, 1e-3), "urh": ("exposure", 3600, 1e-6), "mrh": ("exposure", 3600, 1e-3)}
 
+#: Characters of the longest unit text; longer ones tell no unit.
+LONGEST = 60
+
 _SUPERSCRIPT = str.maketrans("⁻⁺⁰¹²³⁴⁵⁶⁷⁸⁹", "-+0123456789")
 _NUMBER = re.compile(r"(?:10\^[+-]?\d+|\d+(?:[.,]\d+)?(?:e[+-]?\d+)?)")
 
@@ -146,7 +149,7 @@ def code_of(text: str | None) -> tuple[str, float] | None:
     if not text:
         return None
     t = fold(text)
-    if not t or len(t) > 60:
+    if not t or len(t) > LONGEST:
         return None
     dotted = re.sub(r"(?<=[a-z])\.(?=[a-z]|$)", "", t)  # c.p.m.
     for form in dict.fromkeys((t, dotted)):
@@ -177,13 +180,16 @@ def code_in(text: str | None) -> tuple[str, float] | None:
     for a in range(len(words)):
         if not words[a].group()[0].isalpha():
             continue
-        before = t[: words[a].start()].rstrip()
+        # White space is single after folding: two characters back tell what stands before.
+        before = t[max(0, words[a].start() - 2) : words[a].start()].rstrip()
         if before and (before[-1].isdigit() or before[-1] in "/^"):
             continue
         for b in range(min(len(words), a + 8), a, -1):
             run = t[words[a].start() : words[b - 1].end()]
             if best and len(run) <= best[0]:
                 break
+            if len(run) > LONGEST:
+                continue
             if not re.search(r"/|\bper\b|\bpor\b|cpm|cps|sv|h", run) or len(run) < 3:
                 continue
             readings = segment(run)

@@ -28,6 +28,9 @@ NUMBER = r"(?:\d{1,3}(?:[.  ]\d{3})+(?:,\d+)?|\d+(?:[.,]\d+)?(?:[eE][+-]?\d{1,2}
 #: Signs that belong to no readable value: a doubt inside digits, a doubled separator, a range.
 SPOILT = r"\d\s*\?|\?\s*\d|[.,]{2,}|\d\s*[-/–]\s*\d"
 
+#: Characters of the longest text that is read as a number, date or truth value.
+LONGEST = 200
+
 #: Dense tables by themselves for so many of the most frequent characteristic sets; all others share one table.
 DENSE_SETS = 8
 #: Values of one multi-valued cell that the wide row carries; longer cells stand whole in ``multi_values``.
@@ -39,7 +42,8 @@ def canonical_iri(iri: Column, prefixes: dict[str, str]) -> Column:
     t = F.regexp_replace(F.trim(iri), r"^<|>$", "")
     for prefix, full in prefixes.items():
         t = F.when(F.lower(t).startswith(f"{prefix}:") & ~F.lower(t).startswith(f"{prefix}://"), F.concat(F.lit(full), F.substring(t, len(prefix) + 2, 10_000))).otherwise(t)
-    pattern = r"^(?i)(https?)://([^/]+)(.*?)/*$"
+    t = F.rtrim(t, F.lit("/"))
+    pattern = r"^(?i)(https?)://([^/]+)(.*)$"
     return F.when(t.rlike(pattern), F.concat(F.lit("http://"), F.lower(F.regexp_extract(t, pattern, 2)), F.regexp_extract(t, pattern, 3))).otherwise(t)
 
 
@@ -87,8 +91,8 @@ def read_boolean(text: Column) -> Column:
 
 
 def read_value(text: Column, kind: Column) -> Column:
-    """Text of a value of type ``kind``; null where it is not readable as that."""
-    read = lambda t: F.when(t == "", None).when(kind == "integer", read_integer(t)).when(kind == "decimal", read_decimal(t)).when(kind == "date", read_date(t)).when(kind == "boolean", read_boolean(t)).otherwise(t)
+    """Text of a value of type ``kind``; null where it is not readable as that, as texts of over ``LONGEST`` characters are."""
+    read = lambda t: F.when(t == "", None).when(kind.isin("integer", "decimal", "date", "boolean") & (F.length(t) > LONGEST), None).when(kind == "integer", read_integer(t)).when(kind == "decimal", read_decimal(t)).when(kind == "date", read_date(t)).when(kind == "boolean", read_boolean(t)).otherwise(t)
     return let(F.trim(text), read)
 
 

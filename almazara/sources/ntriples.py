@@ -17,10 +17,11 @@ from pyspark.sql import functions as F
 from almazara import schemas
 from almazara.sources.archives import archive_lines
 
-# The grammar of a statement.
+# The grammar of a statement whose escapes are masked, so that no group repeats over a long literal.
+MASK = "\x01\x01"
 RESOURCE = r"<[^>]*>|_:\S+"
-STATEMENT = rf'^({RESOURCE})\s*(<[^>]*>)\s*(<[^>]*>|_:\S+|"(?:[^"\\]|\\.)*"(?:@\S+|\^\^<[^>]*>)?)\s*\.$'
-LITERAL = r'^"((?:[^"\\]|\\.)*)"(?:@(\S+)|\^\^<([^>]*)>)?$'
+STATEMENT = rf'^({RESOURCE})(\s*)(<[^>]*>)(\s*)(<[^>]*>|_:\S+|"[^"]*"(?:@\S+|\^\^<[^>]*>)?)\s*\.$'
+SUFFIX = r'^"[^"]*"(?:@(\S+)|\^\^<([^>]*)>)?$'
 _ESCAPE = re.compile(r"\\(u[0-9A-Fa-f]{4}|U[0-9A-Fa-f]{8}|.)", re.S)
 _SIMPLE = {"t": "\t", "b": "\b", "n": "\n", "r": "\r", "f": "\f", '"': '"', "'": "'", "\\": "\\"}
 
@@ -73,13 +74,18 @@ def logical_lines(lines: DataFrame) -> DataFrame:
 def parsed_statements(lines: DataFrame) -> DataFrame:
     """Logical lines with their terms and ``error``: null, ``ignored`` (blank or comment) or what is wrong. FN-24, FLT-05."""
     t = F.trim("value")
-    g = lambda i: F.regexp_extract(t, STATEMENT, i)
-    obj = g(3)
-    lit = lambda i: F.regexp_extract(obj, LITERAL, i)
-    literal = obj.startswith('"')
-    resource = lambda c: _unescaped(F.when(c.startswith("<"), F.substring(c, 2, F.length(c) - 2)).otherwise(c))
-    good = t.rlike(STATEMENT)
-    rows = lines.select("*", F.when(good, resource(g(1))).alias("subject"), F.when(good, resource(g(2))).alias("predicate"), F.when(good, F.when(literal, _unescaped(lit(1))).otherwise(resource(obj))).alias("object"), F.when(good, F.when(literal, "literal").when(obj.startswith("<"), "iri").otherwise("blank_node")).alias("object_kind"), F.when(good & literal, F.nullif(lit(2), F.lit(""))).alias("language"), F.when(good & literal, F.nullif(lit(3), F.lit(""))).alias("datatype"))
+    masked = F.regexp_replace(t, r"\\.", MASK)
+    g = lambda i: F.regexp_extract(masked, STATEMENT, i)
+    size = lambda i: F.length(g(i))
+    # The masked text has the same places as the text itself.
+    part = lambda before, i: F.substring(t, sum((size(k) for k in before), F.lit(1)), size(i))
+    obj, literal = part((1, 2, 3, 4), 5), g(5).startswith('"')
+    suffix = lambda i: F.nullif(F.regexp_extract(g(5), SUFFIX, i), F.lit(""))
+    closing = F.instr(F.substring(g(5), 2, 2**31 - 1), '"')
+    inside = F.substring(obj, F.lit(2), closing - 1)
+    resource = lambda c: _unescaped(F.when(c.startswith("<"), F.substring(c, F.lit(2), F.length(c) - 2)).otherwise(c))
+    good = masked.rlike(STATEMENT)
+    rows = lines.select("*", F.when(good, resource(part((), 1))).alias("subject"), F.when(good, resource(part((1, 2), 3))).alias("predicate"), F.when(good, F.when(literal, _unescaped(inside)).otherwise(resource(obj))).alias("object"), F.when(good, F.when(literal, "literal").when(g(5).startswith("<"), "iri").otherwise("blank_node")).alias("object_kind"), F.when(good & literal, suffix(1)).alias("language"), F.when(good & literal, suffix(2)).alias("datatype"))
     missing = F.col("subject").isNull() | F.col("predicate").isNull() | F.col("object").isNull()
     error = F.when((t == "") | t.startswith("#"), "ignored").when(~t.endswith("."), "Triple must end with a period").when(~good, "Invalid statement").when(missing, "Invalid escape")
     return rows.withColumn("error", error)
