@@ -35,8 +35,8 @@ STUFFED_COUNT, STUFFED_SHARE = 4, 0.05
 #: Share of a fragment's words that must recur on the page for it to count as keywords.
 RECURRING_SHARE = 0.4
 
-_LINK = re.compile(r"(?:https?://|www\.)[^\s)\]>\"']+|\b[a-z0-9][a-z0-9-]*(?:\.[a-z0-9-]+)*\.[a-z]{2,12}(?:/[^\s)\]>\"']*)?(?![\w.@])", re.I)
-_MARKUP = re.compile(r"</?a\b[^>]*>|\[([^\]]*)\]\([^)]*\)", re.I)
+_LINK = re.compile(r"(?:https?://|www\.)[^\s)\]>\"']+|(?<![\w.@-])[a-z0-9][a-z0-9-]*(?:\.[a-z0-9-]+)*\.[a-z]{2,12}(?:/[^\s)\]>\"']*)?(?![\w.@])", re.I)
+_MARKUP = re.compile(r"</?a\b[^<>]*>|\[([^\[\]]*)\]\([^()]*\)", re.I)
 _UNIT = re.compile(r"(?<=[.!?…])\s+(?=[^\s])")
 _ENDED = re.compile(r"[.!?…:]['\"»”)\]]*$")
 _STARTED = re.compile(r"^['\"«“¿¡(\[]*(?:[A-ZÀ-ÖØ-Þ]|\d)")
@@ -46,7 +46,7 @@ _HASHTAG = re.compile(r"#\w")
 _PLAIN = re.compile(r"[​-‍﻿]")
 _SPACED = re.compile(r"(?<=\w)[.*](?=\w)")
 #: A sentence without any sign of lists, links or tags: told without further work.
-_PLAIN_SENTENCE = re.compile(r"[A-ZÀ-ÖØ-Þ¿¡«\"][^#|<>\[\]/·•*+@_{}=]*[a-zß-ÿ][^#|<>\[\]/·•*+@_{}=]*[.!?…]")
+_PLAIN_SENTENCE = re.compile(r"[A-ZÀ-ÖØ-Þ¿¡«\"][^#|<>\[\]/·•*+@_{}=]*[.!?…]")
 _DOTTED = re.compile(r"[a-z]\.[a-z]")
 _SEPARATOR = re.compile(r"\s[-–—]\s|[,;|/·•#]")
 
@@ -111,7 +111,7 @@ def page_shapes(text: str | None) -> tuple[int, int, int, str]:
     units = units_of(text)
     sentences, shaped = [], []
     for u in units:
-        if _PLAIN_SENTENCE.fullmatch(u) and not _DOTTED.search(u):
+        if _PLAIN_SENTENCE.fullmatch(u) and u != u.upper() and not _DOTTED.search(u):
             sentences.append(u)
         else:
             kind, shape = shape_of(u)

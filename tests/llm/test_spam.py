@@ -43,6 +43,15 @@ def test_share_decides(text):
     assert spammy > 0.5 * chars
 
 
+@pytest.mark.parametrize("text", ["A" + "a" * 300_000, "a-" * 150_000 + ".x", "." * 300_000, "<a " * 100_000 + ".com", "[" * 300_000 + "a.com", "[x](" * 80_000 + "a.com", "a.b" * 100_000, "Aa! " * 80_000, "a" + " " * 300_000 + "b", ":)" * 150_000, "http://" * 50_000, "#" * 300_000, "|" * 300_000])
+def test_very_long_lines_take_no_long_time(text):
+    import time
+
+    started = time.perf_counter()
+    spam.page_shapes(text)
+    assert time.perf_counter() - started < 5
+
+
 def test_frame(spark):
     data = [(1, SPAM[0]), (2, PROSE), (3, None), (4, ""), (5, SPAM[0]), (None, SPAM[0]), (6, "a" * 300_000), (7, SPAM[3] * 3000)]
     df = spark.createDataFrame(data, "doc_id long, text string").withColumn("flagged", F.lit("clash")).withColumn("spam_chars", F.lit(1))
