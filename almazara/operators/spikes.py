@@ -168,13 +168,18 @@ def judge(frame: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"measurement_id": frame["measurement_id"].to_numpy()[home], "score": score[home], "kind": kind[home]})
 
 
-def in_blocks(rows: DataFrame, source: str, at_us: str, *, block_rows: int = BLOCK_ROWS, halo_rows: int = HALO_ROWS, slot_s: int = SLOT_S) -> DataFrame:
+def in_blocks(rows: DataFrame, source: str, at_us: str, *, counts: DataFrame | None = None, block_rows: int = BLOCK_ROWS, halo_rows: int = HALO_ROWS, slot_s: int = SLOT_S) -> DataFrame:
     """``rows`` with ``block`` and ``home``: each row in its block of time, and again (home false) in the halo of its neighbours.
 
     Sources of at most ``block_rows`` rows are one block. Longer ones are cut by
-    a histogram of slots, of which a source has a bounded number.
+    a histogram of slots, of which a source has a bounded number. ``counts``
+    (source, n at least its rows) is counted where it isn't given. Counts and
+    slots are small tables written down, so that Catalyst knows their size and
+    need not shuffle the rows to meet them.
     """
-    n = rows.groupBy(F.col(source).alias("_source")).agg(F.count("*").alias("_n"))
+    if counts is None:
+        counts = materialize(rows.groupBy(source).agg(F.count("*").alias("n")), "counts")
+    n = counts.select(F.col(source).alias("_source"), F.col("n").alias("_n"))
     rows = rows.join(n, F.col(source) == F.col("_source")).drop("_source")
     rows = rows.withColumn("_slot", F.when(F.col("_n") > block_rows, F.floor(F.col(at_us) / (slot_s * 1_000_000))).otherwise(0))
     rows = rows.drop("_n")
@@ -185,13 +190,13 @@ def in_blocks(rows: DataFrame, source: str, at_us: str, *, block_rows: int = BLO
     block = Window.partitionBy("_source", "_b")
     slots = slots.withColumn("_lo", F.min("_before").over(block)).withColumn("_hi", F.max(F.col("_before") + F.col("_k")).over(block)).withColumn("_last", F.max("_b").over(Window.partitionBy("_source")))
     to = F.array_compact(F.array(F.col("_b"), F.when((F.col("_before") - F.col("_lo") < halo_rows) & (F.col("_b") > 1), F.col("_b") - 1), F.when((F.col("_hi") - F.col("_before") - F.col("_k") < halo_rows) & (F.col("_b") < F.col("_last")), F.col("_b") + 1)))
-    slots = slots.select("_source", "_s", "_b", to.alias("_to"))
+    slots = materialize(slots.select("_source", "_s", "_b", to.alias("_to")), "slots")
     joined = rows.join(slots, (F.col(source) == F.col("_source")) & (F.col("_slot") == F.col("_s")))
     return joined.select(*[c for c in rows.columns if c != "_slot"], "_b", F.explode("_to").alias("block")).withColumn("home", F.col("block") == F.col("_b")).drop("_b")
 
 
-def readings_with_level(measurements: DataFrame, factors: DataFrame, devices: DataFrame) -> DataFrame:
-    """Readings with their unit, value in µSv/h and whether they are impossible.
+def readings_with_level(measurements: DataFrame, factors: DataFrame, devices: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(readings with their unit, value in µSv/h and whether they are impossible; readings of each device).
 
     Where no unit is told, the device's most frequent told unit holds (ties: the
     first by name).
@@ -199,7 +204,10 @@ def readings_with_level(measurements: DataFrame, factors: DataFrame, devices: Da
     m = measurements.select("measurement_id", "device_id", F.unix_micros(F.col("captured_at").cast("timestamp")).alias("at_us"), F.year("captured_at").alias("year"), "value", "unit", "radiation", "location_name").where(F.col("value").isNotNull())
     told = with_source_unit(m, unit="unit", texts=["radiation", "location_name"]).drop("unit", "radiation", "location_name", "unit_told_by")
     told = materialize(told, "readings")
-    usual = told.where(F.col("source_unit").isNotNull()).groupBy("device_id", "source_unit").agg(F.count("*").alias("n")).groupBy(F.col("device_id").alias("_device")).agg(F.min_by("source_unit", F.struct(-F.col("n"), "source_unit")).alias("_usual"))
+    by_unit = told.groupBy("device_id", "source_unit").agg(F.count("*").alias("n"))
+    known = F.when(F.col("source_unit").isNotNull(), F.struct(-F.col("n"), "source_unit"))
+    facts = materialize(by_unit.groupBy("device_id").agg(F.min_by("source_unit", known).alias("usual"), F.sum("n").alias("n")), "device_facts")
+    usual = facts.select(F.col("device_id").alias("_device"), F.col("usual").alias("_usual"))
     rows = told.join(usual, F.col("device_id") == F.col("_device"), "left").drop("_device")
     rows = rows.withColumn("source_unit", F.coalesce("source_unit", "_usual")).drop("_usual")
     rows = convert(rows, value="value", factors=factors, devices=devices, device="device_id")
@@ -207,7 +215,7 @@ def readings_with_level(measurements: DataFrame, factors: DataFrame, devices: Da
     rows = rows.join(limit, F.col("device_id") == F.col("_device"), "left").drop("_device")
     infinite = F.isnan("value") | (F.abs("value") == float("inf"))
     bad = infinite | (F.col("value") < 0) | F.coalesce(F.col("value_usvh") > F.col("_max"), F.lit(False))
-    return rows.withColumn("impossible", bad).drop("_max")
+    return rows.withColumn("impossible", bad).drop("_max"), facts.select("device_id", "n")
 
 
 def flag_readings(measurements: DataFrame, factors: DataFrame, devices: DataFrame) -> DataFrame:
@@ -217,9 +225,9 @@ def flag_readings(measurements: DataFrame, factors: DataFrame, devices: DataFram
     device, without time or outside the years 2000 to 2029 are judged for
     ``impossible`` only (score null), as are those whose value has no level.
     """
-    rows = readings_with_level(measurements, factors, devices)
+    rows, counts = readings_with_level(measurements, factors, devices)
     timed = F.col("year").between(2000, 2029) & F.col("device_id").isNotNull()
     judged = rows.where(~F.col("impossible") & F.coalesce(timed, F.lit(False))).select("measurement_id", "device_id", "at_us", "value", F.coalesce("source_unit", F.lit("")).alias("code"), F.col("value_usvh").alias("usvh"))
-    judged = in_blocks(judged, "device_id", "at_us").groupBy("device_id", "block").applyInPandas(lambda f: judge(f), "measurement_id long, score double, kind string")
+    judged = in_blocks(judged, "device_id", "at_us", counts=counts).groupBy("device_id", "block").applyInPandas(lambda f: judge(f), "measurement_id long, score double, kind string")
     rest = rows.where(F.col("impossible") | ~F.coalesce(timed, F.lit(False))).select("measurement_id", F.lit(None).cast("double").alias("score"), F.when(F.col("impossible"), "impossible").alias("kind"))
     return judged.unionByName(rest)

@@ -60,7 +60,7 @@ def test_blocks_give_what_one_block_gives(spark, monkeypatch):
     blocks = spikes.in_blocks(rows, "device_id", "at_us", block_rows=150)
     assert blocks.where("home").count() == 900 and blocks.select("block").distinct().count() == 6
     original = spikes.in_blocks
-    monkeypatch.setattr(spikes, "in_blocks", lambda r, s, a: original(r, s, a, block_rows=150))
+    monkeypatch.setattr(spikes, "in_blocks", lambda r, s, a, counts: original(r, s, a, counts=counts, block_rows=150))
     assert flags(spark, data) == whole
     assert {k for k, v in whole.items() if v == "spike"} == {120, 299, 300, 301, 650} and {k for k, v in whole.items() if v == "stuck"} == set(range(445, 460))
 
