@@ -15,6 +15,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from almazara.runtime import materialize
+
 # Month names, zone abbreviations with their offsets in minutes.
 MONTHS_ES = ["enero", "febrero", "marzo", "abril", "mayo", "junio", "julio", "agosto", "septiembre", "octubre", "noviembre", "diciembre"]
 MONTHS_SHORT_ES = ["ene", "feb", "mar", "abr", "may", "jun", "jul", "ago", "sep", "oct", "nov", "dic"]
@@ -150,8 +152,8 @@ def to_instants(df: DataFrame, *, text: str, zone: str, intervals: DataFrame) ->
     rows = df.withColumn("_parsed", parsed(F.col(text)))
     local_us = F.unix_micros(p["local"].cast("timestamp"))
     rows = rows.withColumn("_local_us", F.when(p["instant_us"].isNull(), local_us)).withColumn("_month", F.date_format(p["local"], "yyyyMM"))
-    # One row per (zone, month) that lists its two or three intervals: the join adds no rows.
-    spans = intervals.groupBy(F.col("zone").alias("_zone"), F.col("month").alias("_month")).agg(F.collect_list(F.struct("local_from", "local_to", "offset_s")).alias("_spans"))
+    # One row per (zone, month) that lists its two or three intervals: the join adds no rows. Written down, its size is known to Catalyst.
+    spans = materialize(intervals.groupBy(F.col("zone").alias("_zone"), F.col("month").alias("_month")).agg(F.collect_list(F.struct("local_from", "local_to", "offset_s")).alias("_spans")).coalesce(1), "offsets")
     out = rows.join(spans, (F.col(zone) == F.col("_zone")) & (rows["_month"] == spans["_month"]), "left").drop("_zone", spans["_month"]).drop("_month")
     hits = F.filter("_spans", lambda s: (s["local_from"] <= F.col("_local_us")) & (F.col("_local_us") < s["local_to"]))
     status = F.when(F.col(text).isNull(), "null").when(p.isNull(), "invalid").when(p["instant_us"].isNotNull(), "instant").when(F.col("_spans").isNull(), "unknown_zone").when(F.size(hits) == 1, "resolved").when(F.size(hits) == 0, "nonexistent").otherwise("ambiguous")
