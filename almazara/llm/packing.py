@@ -17,6 +17,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from almazara.runtime import materialize
+
 MAX_BUCKETS = 512
 #: Parts of a bucket in which items are numbered side by side.
 PARTS = 256
@@ -158,9 +160,9 @@ def pack_items(sizes: DataFrame, capacities: list[tuple[str, int]], *, max_bucke
             class_rows.append((name, n, bound))
         batches, _ = plan_batches(by_bound, capacity)
         batch_rows += [(name, b.bound, b.first_item, b.first_item + b.items, b.first, b.per) for b in batches]
-    # Both tables are as long as the histogram at most, not as the data.
-    classes = spark.createDataFrame(class_rows, "pack_name string, size long, bound long")
-    batches = spark.createDataFrame(batch_rows, "pack_name string, bound long, from_rank long, to_rank long, first long, per long")
+    # Both tables are as long as the histogram at most, not as the data; written down, their size is known to Catalyst.
+    classes = materialize(spark.createDataFrame(class_rows, "pack_name string, size long, bound long").coalesce(1), "classes")
+    batches = materialize(spark.createDataFrame(batch_rows, "pack_name string, bound long, from_rank long, to_rank long, first long, per long").coalesce(1), "batches")
     rest = items.where(F.col("size") > 0).join(classes, ["pack_name", "size"]).withColumn("part", F.pmod(F.xxhash64("item_id"), F.lit(PARTS)))
     parts = rest.groupBy("pack_name", "bound", "part").agg(F.count("*").alias("n"))
     before = F.coalesce(F.sum("n").over(Window.partitionBy("pack_name", "bound").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
