@@ -13,6 +13,8 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from almazara.runtime import materialize
+
 #: Hash buckets of a pass over one source.
 BUCKETS_LOG2 = 10
 #: Blocks of the mixture, each holding every source in its weight.
@@ -129,6 +131,8 @@ def draw_mixture(sizes: DataFrame, targets: DataFrame, *, total_tokens: float |
     partial = F.col("pass_number") > _lookup(passes, "int")
     left = F.when(partial, _lookup(rest, "long")).otherwise(F.lit(2**62))
     sums = sums.where(F.col("before") < left).withColumn("cut", F.col("before") + F.col("bucket_tokens") > left).withColumn("room", left - F.col("before"))
+    # At most 1,024 rows for each pass of a source; written down, its size is known to Catalyst.
+    sums = materialize(sums, "buckets")
     joined = rows.join(sums, ["source", "pass_number", "bucket"])
     whole = joined.where(~F.col("cut"))
     # Only the one bucket of a source in which its budget ends is put in order.
