@@ -118,10 +118,10 @@ def ag10_field_coverage(spark: SparkSession, d: str) -> DataFrame:
     return profile.field_coverage(table(spark, d, "triples"), COVERAGE)
 
 
-@query("SELECT min(captured_at) AS min_captured, max(captured_at) AS max_captured, min(uploaded_at) AS min_uploaded, max(uploaded_at) AS max_uploaded FROM measurements")
+@query("SELECT min(l_shipdate) AS min_shipped, max(l_shipdate) AS max_shipped FROM lineitem")
 def ag11_time_extent(spark: SparkSession, d: str) -> DataFrame:
     """First and last times."""
-    return profile.extent(table(spark, d, "measurements"), {"captured": "captured_at", "uploaded": "uploaded_at"})
+    return profile.extent(table(spark, d, "lineitem"), {"shipped": "l_shipdate"})
 
 
 @query("SELECT CAST(sum(n) AS BIGINT) AS \"rows\", count(*) AS keys, CAST(sum(n - 1) AS BIGINT) AS duplicates FROM (SELECT count(*) AS n FROM day_ahead_prices GROUP BY record_id)")
@@ -342,12 +342,12 @@ def so04_tagged_union(spark: SparkSession, d: str) -> DataFrame:
     return relational.tagged_union({"customer": table(spark, d, "customer").select(F.col("c_custkey").alias("k"), F.col("c_acctbal").alias("balance")), "supplier": table(spark, d, "supplier").select(F.col("s_suppkey").alias("k"), F.col("s_acctbal").alias("balance")), "part": table(spark, d, "part").select(F.col("p_partkey").alias("k"), F.col("p_size").alias("size"))}).select("k", "balance", "size", "source_format")
 
 
-@query("SELECT record_id, timestamp_utc, price FROM day_ahead_prices WHERE timestamp_utc >= TIMESTAMPTZ '2026-05-06 00:00:00+00' AND timestamp_utc < TIMESTAMPTZ '2026-05-07 00:00:00+00' AND zone_key = 'QA'")
+@query("SELECT record_id, epoch_us(timestamp_utc) AS at_us, price FROM day_ahead_prices WHERE timestamp_utc >= TIMESTAMPTZ '2026-05-06 00:00:00+00' AND timestamp_utc < TIMESTAMPTZ '2026-05-07 00:00:00+00' AND zone_key = 'QA'")
 def flt01_interval(spark: SparkSession, d: str) -> DataFrame:
     """Prices of a zone in a half-open interval, pushed to the scan."""
     t = F.col("timestamp_utc")
     inside = (t >= F.lit("2026-05-06T00:00:00Z").cast("timestamp")) & (t < F.lit("2026-05-07T00:00:00Z").cast("timestamp"))
-    return table(spark, d, "day_ahead_prices").where(inside & (F.col("zone_key") == "QA")).select("record_id", "timestamp_utc", "price")
+    return table(spark, d, "day_ahead_prices").where(inside & (F.col("zone_key") == "QA")).select("record_id", F.unix_micros("timestamp_utc").alias("at_us"), "price")
 
 
 @query("SELECT record_id FROM day_ahead_prices WHERE coalesce(contract_type, 'A01') = 'A01'")
@@ -422,11 +422,11 @@ def fn15_step_instant(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "events").select("event_id", temporal.step_instant(F.col("ts"), F.lit(900), F.col("event_id") % 96 + 1).alias("instant"))
 
 
-@query("SELECT zone_key, timestamp_utc, sha256('day_ahead_prices|' || zone_key || '|' || strftime(timestamp_utc AT TIME ZONE 'UTC', '%Y-%m-%dT%H:%M:%S') || '+00:00|' || resolution || '|' || coalesce(business_type, '') || '|' || coalesce(contract_type, '') || '|' || coalesce(auction_type, '') || '|' || CASE WHEN coalesce(classification_position, 0) = 0 THEN '' ELSE CAST(classification_position AS VARCHAR) END) AS id FROM day_ahead_prices")
+@query("SELECT zone_key, epoch_us(timestamp_utc) AS at_us, sha256('day_ahead_prices|' || zone_key || '|' || strftime(timestamp_utc AT TIME ZONE 'UTC', '%Y-%m-%dT%H:%M:%S') || '+00:00|' || resolution || '|' || coalesce(business_type, '') || '|' || coalesce(contract_type, '') || '|' || coalesce(auction_type, '') || '|' || CASE WHEN coalesce(classification_position, 0) = 0 THEN '' ELSE CAST(classification_position AS VARCHAR) END) AS id FROM day_ahead_prices")
 def fn16_record_id(spark: SparkSession, d: str) -> DataFrame:
     """Identity of a price record by hash."""
     c = F.col
-    return table(spark, d, "day_ahead_prices").select("zone_key", "timestamp_utc", ids.price_record_id(F.lit("day_ahead_prices"), c("zone_key"), c("timestamp_utc"), c("resolution"), c("business_type"), c("contract_type"), c("auction_type"), c("classification_position")).alias("id"))
+    return table(spark, d, "day_ahead_prices").select("zone_key", F.unix_micros("timestamp_utc").alias("at_us"), ids.price_record_id(F.lit("day_ahead_prices"), c("zone_key"), c("timestamp_utc"), c("resolution"), c("business_type"), c("contract_type"), c("auction_type"), c("classification_position")).alias("id"))
 
 
 @query("SELECT document_id, revision_number, sha256(coalesce(document_id, '') || chr(31) || coalesce(CAST(revision_number AS VARCHAR), '') || chr(31) || '0') AS id FROM (SELECT DISTINCT document_id, revision_number FROM day_ahead_prices)")
