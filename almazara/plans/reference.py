@@ -342,11 +342,11 @@ def so04_tagged_union(spark: SparkSession, d: str) -> DataFrame:
     return relational.tagged_union({"customer": table(spark, d, "customer").select(F.col("c_custkey").alias("k"), F.col("c_acctbal").alias("balance")), "supplier": table(spark, d, "supplier").select(F.col("s_suppkey").alias("k"), F.col("s_acctbal").alias("balance")), "part": table(spark, d, "part").select(F.col("p_partkey").alias("k"), F.col("p_size").alias("size"))}).select("k", "balance", "size", "source_format")
 
 
-@query("SELECT record_id, epoch_us(timestamp_utc) AS at_us, price FROM day_ahead_prices WHERE timestamp_utc >= TIMESTAMPTZ '2026-05-06 00:00:00+00' AND timestamp_utc < TIMESTAMPTZ '2026-05-08 00:00:00+00'")
+@query("SELECT record_id, epoch_us(timestamp_utc) AS at_us, price FROM day_ahead_prices WHERE timestamp_utc >= TIMESTAMPTZ '2026-05-30 00:00:00+00' AND timestamp_utc < TIMESTAMPTZ '2026-06-01 00:00:00+00'")
 def flt01_interval(spark: SparkSession, d: str) -> DataFrame:
     """Prices of a half-open interval, pushed to the scan."""
     t = F.col("timestamp_utc")
-    inside = (t >= F.lit("2026-05-06T00:00:00Z").cast("timestamp")) & (t < F.lit("2026-05-08T00:00:00Z").cast("timestamp"))
+    inside = (t >= F.lit("2026-05-30T00:00:00Z").cast("timestamp")) & (t < F.lit("2026-06-01T00:00:00Z").cast("timestamp"))
     return table(spark, d, "day_ahead_prices").where(inside).select("record_id", F.unix_micros("timestamp_utc").alias("at_us"), "price")
 
 
