@@ -20,6 +20,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 
+#: Bytes of lines in one Arrow batch.
+BATCH_BYTES = 1 << 20
+
+
 def open_members(path: str, suffix: str = "") -> Iterator[tuple[str, io.BufferedIOBase]]:
     """(member name, byte stream) of the members of an archive whose name ends in ``suffix``."""
     low = path.lower()
@@ -57,9 +61,18 @@ class _LinesReader(DataSourceReader):
         return [_Archive(p) for p in self.paths]
 
     def read(self, partition):
+        """Arrow batches of lines; strict UTF-8 is checked by Arrow, other decoding is done line by line."""
+        import pyarrow as pa
+
+        plain = self.encoding.lower().replace("_", "-") == "utf-8" and self.errors == "strict"
         for member, stream in open_members(partition.path, self.suffix):
-            for number, raw in enumerate(stream, 1):
-                yield partition.path, member, number, raw.rstrip(b"\r\n").decode(self.encoding, self.errors)
+            number = 0
+            while lines := stream.readlines(BATCH_BYTES):
+                cut = [line.rstrip(b"\r\n") for line in lines]
+                values = pa.array(cut, pa.binary()).cast(pa.string()) if plain else pa.array([line.decode(self.encoding, self.errors) for line in cut], pa.string())
+                n = len(cut)
+                yield pa.RecordBatch.from_arrays([pa.array([partition.path] * n), pa.array([member] * n), pa.array(range(number + 1, number + n + 1), pa.int64()), values], names=["archive", "member", "line_number", "value"])
+                number += n
 
 
 class LinesSource(DataSource):

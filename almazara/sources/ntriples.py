@@ -1,9 +1,9 @@
 """N-Triples to the statement table.
 
-Lines are cut by JVM regular expressions; only terms that hold a backslash go
-through Python to be unescaped. A statement whose IRI is wrapped over two lines is
-put together by an equi-join of the few open lines with the lines that
-continue them, on the line number.
+Files are read and cut in one pass over Arrow batches, each file by one task; a line
+whose IRI is wrapped waits for the next. Lines of any other frame are cut by JVM
+regular expressions, and wrapped IRIs put together by an equi-join of the few open
+lines with those that continue them.
 """
 
 from __future__ import annotations
@@ -88,7 +88,66 @@ def parsed_statements(lines: DataFrame) -> DataFrame:
     rows = lines.select("*", F.when(good, resource(part((), 1))).alias("subject"), F.when(good, resource(part((1, 2), 3))).alias("predicate"), F.when(good, F.when(literal, _unescaped(inside)).otherwise(resource(obj))).alias("object"), F.when(good, F.when(literal, "literal").when(g(5).startswith("<"), "iri").otherwise("blank_node")).alias("object_kind"), F.when(good & literal, suffix(1)).alias("language"), F.when(good & literal, suffix(2)).alias("datatype"))
     missing = F.col("subject").isNull() | F.col("predicate").isNull() | F.col("object").isNull()
     error = F.when((t == "") | t.startswith("#"), "ignored").when(~t.endswith("."), "Triple must end with a period").when(~good, "Invalid statement").when(missing, "Invalid escape")
-    return rows.withColumn("error", error)
+    rows = rows.withColumn("error", error)
+    return rows.withColumns({c: F.when(F.col("error").isNull(), F.col(c)) for c in _COLUMNS[1:-1]})
+
+
+_LINE = re.compile(r'\s*(<[^>]*>|_:\S+)\s*(<[^>]*>)\s*(?:(<[^>]*>)|(_:\S+)|"([^"\\]*(?:\\.[^"\\]*)*)"(?:@(\S+)|\^\^<([^>]*)>)?)\s*\.\s*\Z', re.S)
+_COLUMNS = ["line_number", "subject", "predicate", "object", "object_kind", "language", "datatype", "error"]
+
+
+def _terms(line: str) -> tuple:
+    """(subject, predicate, object, kind, language, datatype, error) of one line."""
+    m = _LINE.match(line)
+    if m is None:
+        t = line.strip()
+        why = "ignored" if not t or t.startswith("#") else "Invalid statement" if t.endswith(".") else "Triple must end with a period"
+        return (None,) * 6 + (why,)
+    s, p, iri, blank, literal, language, datatype = m.groups()
+    s, p = s[1:-1] if s[0] == "<" else s, p[1:-1]
+    kind, o = ("iri", iri[1:-1]) if iri is not None else ("blank_node", blank) if blank is not None else ("literal", literal)
+    if "\\" in line:
+        s, p, o = unescape(s), unescape(p), unescape(o)
+        if s is None or p is None or o is None:
+            return (None,) * 6 + ("Invalid escape",)
+    return s, p, o, kind, language or None, datatype or None, None
+
+
+def _in_order(batches):
+    """Statements of lines in physical order, wrapped IRIs put together; Arrow batches to Arrow batches."""
+    import pyarrow as pa
+
+    schema = pa.schema([("archive", pa.string()), ("member", pa.string()), ("line_number", pa.int64()), *[(c, pa.string()) for c in _COLUMNS[1:]], ("repaired", pa.bool_())])
+    open_line: tuple | None = None  # archive, member, number, text of a line whose IRI is still open
+
+    for batch in batches:
+        rows = []
+        for archive, member, number, line in zip(*(batch.column(c).to_pylist() for c in ("archive", "member", "line_number", "value"))):
+            if open_line is not None:
+                head, open_line = open_line, None
+                if head[:2] == (archive, member) and head[2] + 1 == number and line.lstrip().startswith(">"):
+                    rows.append((archive, member, head[2], *_terms(head[3] + line.lstrip()), True))
+                    continue
+                rows.append((*head[:3], *_terms(head[3]), False))
+            got = _terms(line)
+            if got[-1] == "Triple must end with a period" and line.count("<") > line.count(">"):
+                open_line = (archive, member, number, line)
+                continue
+            rows.append((archive, member, number, *got, False))
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+    if open_line is not None:
+        last = (*open_line[:3], *_terms(open_line[3]), False)
+        yield pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(last, schema)], schema=schema)
+
+
+def ordered_statements(lines: DataFrame) -> DataFrame:
+    """``parsed_statements`` of ``archive_lines`` as they are read: one narrow pass, an open line kept till the next.
+
+    Only for lines in physical order with whole members in one partition, as
+    the archive source gives them; for other frames there is ``logical_lines``.
+    """
+    return lines.mapInArrow(_in_order, "archive string, member string, line_number long, subject string, predicate string, object string, object_kind string, language string, datatype string, error string, repaired boolean")
 
 
 def statement_rows(statements: DataFrame, collection: str, snapshot: str) -> DataFrame:
@@ -110,4 +169,4 @@ def invalid_examples(statements: DataFrame, k: int = 20) -> DataFrame:
 
 def read_statements(spark: SparkSession, paths: list[str], collection: str, snapshot: str) -> DataFrame:
     """Statement table of bzip2, gzip or plain files, strict UTF-8. SRC-10."""
-    return statement_rows(parsed_statements(logical_lines(archive_lines(spark, paths))), collection, snapshot)
+    return statement_rows(ordered_statements(archive_lines(spark, paths)), collection, snapshot)

@@ -149,6 +149,19 @@ def test_statements(spark, rows):
     assert rows(ntriples.invalid_examples(parsed), "line_number") == [(10,), (5,), (6,), (9,)]
 
 
+def test_files_in_one_pass_give_what_frames_give(spark, tmp_path, rows):
+    lines = ['<s:1> <p:1> "Biblioteca \\"Nacional\\"\\nEspa\\u00f1a"@es .', '_:n1 <p:2> "2021"^^<xsd:gYear> .', "# comment", "", "<s:2> <p:3> <o", "ne> .", "<s:3> <p:3> <o:wra", ">  .", "<s:4> <p:4> <o:4>", '<s:5> <p:5> "bad \\q" .', "<s:6> <p:6> _:b .", "<s:7> <p:7> <open"]
+    for name, opener in (("a.nt", open), ("b.nt.bz2", bz2.open), ("c.nt.gz", gzip.open)):
+        with opener(tmp_path / name, "wt", encoding="utf-8") as f:
+            f.write("\n".join(lines))
+    paths = [str(tmp_path / n) for n in ("a.nt", "b.nt.bz2", "c.nt.gz")]
+    read = archives.archive_lines(spark, paths)
+    a, b = ntriples.ordered_statements(read), ntriples.parsed_statements(ntriples.logical_lines(read))
+    columns = ["member", "line_number", "subject", "predicate", "object", "object_kind", "language", "datatype", "error", "repaired"]
+    assert rows(a, *columns) == rows(b, *columns) and a.count() == 33
+    assert ntriples.read_statements(spark, paths, "c", "2025-01-01").count() == 12
+
+
 def test_very_long_literals(spark):
     body = 'a\\"b\\n' * 60_000
     lines = [f'<s:1> <p:1> "{body}"@es .', "<" * 50_000]
