@@ -69,6 +69,12 @@ def largest_total(tokens: dict[str, int], targets: dict[str, float], repeats: di
     return min((repeats[s] * tokens[s] * whole / t for s, t in here.items()), default=0.0)
 
 
+def corpus_total(sizes: DataFrame, targets: DataFrame) -> int:
+    """Tokens of all documents of the sources that have a target and may be used."""
+    aimed = targets.where((F.col("target_share") > 0) & (F.col("max_repeats") > 0)).select("source").distinct()
+    return int(sizes.join(aimed, "source", "left_semi").agg(F.sum("tokens")).first()[0] or 0)
+
+
 def budgets_within(weights: dict[str, float], limits: dict[str, int], total: float) -> dict[str, int]:
     """Tokens of each source: its weight of the total, and what limits keep back goes to the others in proportion."""
     budget, open_, left = dict.fromkeys(weights, 0), {s for s, w in weights.items() if w > 0}, total
@@ -84,13 +90,18 @@ def budgets_within(weights: dict[str, float], limits: dict[str, int], total: flo
     return budget
 
 
-def _plan(sizes: DataFrame, targets: DataFrame, total_tokens: float | None):
+def _plan(sizes: DataFrame, targets: DataFrame, total_tokens: float | None, target_entropy: float | None = None):
     rows = [r for r in targets.where(F.col("source").isNotNull()).collect()]
     share = {r.source: max(float(r.target_share or 0), 0.0) for r in rows}
     repeats = {r.source: max(int(r.max_repeats or 0), 0) for r in rows}
     share = {s: t if repeats[s] else 0.0 for s, t in share.items()}
     found = {r.source: r.tokens for r in sizes.where(F.col("source").isin(*share)).groupBy("source").agg(F.sum("tokens").alias("tokens")).collect()} if share else {}
     tokens = {s: int(found.get(s, 0)) for s in share}
+    if target_entropy is not None:
+        natural = {s: float(n) if share[s] > 0 else 0.0 for s, n in tokens.items()}
+        whole = sum(natural.values())
+        natural = {s: n / whole if whole else 0.0 for s, n in natural.items()}
+        share = tempered(natural, exponent_for_entropy(natural, target_entropy))
     total = largest_total(tokens, share, repeats) if total_tokens is None else min(total_tokens, sum(repeats[s] * tokens[s] for s in share if share[s] > 0))
     weights, exponent = weights_within(tokens, share, repeats, total)
     budget = budgets_within(weights, {s: repeats[s] * tokens[s] for s in share}, total)
@@ -101,19 +112,21 @@ def _lookup(values: dict, kind: str) -> Column:
     return F.create_map(*[F.lit(x).cast(t) for s, v in values.items() for x, t in ((s, "string"), (v, kind))])[F.col("source")]
 
 
-def draw_mixture(sizes: DataFrame, targets: DataFrame, *, total_tokens: float | None = None, seed: int = 42) -> DataFrame:
+def draw_mixture(sizes: DataFrame, targets: DataFrame, *, total_tokens: float | None = None, target_entropy: float | None = None, seed: int = 42) -> DataFrame:
     """(source, doc_id, pass_number, tokens, block): the documents drawn, once for each pass they are in.
 
     ``sizes``: item_id, doc_id, source, tokens; ``targets``: source,
     target_share, max_repeats (a few rows). Without ``total_tokens`` the mixture
     is the largest in which every target is met; a larger total bends the
     weights toward the natural shares by the exponent until the limits hold; where
-    they cannot, what limits keep back goes to the other sources.
+    they cannot, what limits keep back goes to the other sources. With
+    ``target_entropy`` (nats) the shares aimed at are the tempered natural shares
+    of that entropy, of the sources that have a target.
     Documents without a source or of a source without target are not drawn;
     a source without documents leaves its share to the others in proportion. A
     source's tokens stay within its budget by less than one document.
     """
-    share, repeats, tokens, budget, _ = _plan(sizes, targets, total_tokens)
+    share, repeats, tokens, budget, _ = _plan(sizes, targets, total_tokens, target_entropy)
     used = {s: b for s, b in budget.items() if b > 0 and tokens[s] > 0}
     schema = "source string, doc_id long, pass_number int, tokens long, block int"
     if not used:

@@ -43,6 +43,21 @@ def p9_shares(spark: SparkSession, d: str) -> DataFrame:
     return mixing.mixture_report(mixing.draw_mixture(sizes, targets), sizes, targets)
 
 
+def _tempered(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    sizes, targets = tokens.token_sizes(table(spark, d, "documents")), table(spark, d, "mix_targets")
+    return mixing.draw_mixture(sizes, targets, total_tokens=mixing.corpus_total(sizes, targets)), sizes, targets
+
+
+def p9_tempered(spark: SparkSession, d: str) -> DataFrame:
+    """The mixture of as many tokens as the corpus has, its weights bent by the exponent until the repetition limits hold."""
+    return _tempered(spark, d)[0]
+
+
+def p9_tempered_shares(spark: SparkSession, d: str) -> DataFrame:
+    """Target and actual share of every source in the mixture of the corpus's size."""
+    return mixing.mixture_report(*_tempered(spark, d))
+
+
 def p10_scored(spark: SparkSession, d: str) -> DataFrame:
     """Every document with its share of spam shapes."""
     return spam.page_scores(table(spark, d, "documents"))
@@ -53,4 +68,4 @@ def p10_found(spark: SparkSession, d: str) -> DataFrame:
     return p10_scored(spark, d).where("flagged").select("doc_id").distinct()
 
 
-QUERIES = {f.__name__: f for f in (p5_found, p5_repaired, p8_packed, p8_fill, p9_mixture, p9_shares, p10_found, p10_scored)}
+QUERIES = {f.__name__: f for f in (p5_found, p5_repaired, p8_packed, p8_fill, p9_mixture, p9_shares, p9_tempered, p9_tempered_shares, p10_found, p10_scored)}

@@ -69,3 +69,29 @@ def test_temperature():
     assert 0 < e < 1 and abs(mixing.entropy(mixing.tempered(natural, e)) - target) < 1e-9
     w, exponent = mixing.weights_within({"a": 700, "b": 200, "c": 100}, {"a": 0.2, "b": 0.2, "c": 0.6}, {"a": 1, "b": 1, "c": 2}, 800)
     assert 0 < exponent < 1 and sum(w.values()) == pytest.approx(1) and w["c"] * 800 == pytest.approx(200)
+
+
+def test_a_mixture_of_the_corpus_size_bends_by_the_exponent(spark, tmp_path, monkeypatch):
+    from almazara.llm import queries
+
+    sizes, targets = corpus(spark, {"big": 3000, "small": 60, "other": 100}), spark.createDataFrame([("big", 0.8, 1), ("small", 0.2, 4)], TARGETS)
+    targets.write.parquet(f"{tmp_path}/mix_targets.parquet")
+    sizes.write.parquet(f"{tmp_path}/documents.parquet")
+    monkeypatch.setattr(queries.tokens, "token_sizes", lambda documents: documents)
+    have = {r.source: r.t for r in sizes.groupBy("source").agg(F.sum("tokens").alias("t")).collect()}
+    total = mixing.corpus_total(sizes, targets)
+    assert total == have["big"] + have["small"] and 0 < mixing._plan(sizes, targets, total)[4] < 1
+    used = Counter()
+    for r in queries.QUERIES["p9_tempered"](spark, str(tmp_path)).collect():
+        used[r.source] += r.tokens
+    assert set(used) == {"big", "small"} and sum(used.values()) > 0.98 * total and abs(used["small"] - 4 * have["small"]) <= 40
+    report = {r.source: r.tokens_drawn for r in queries.QUERIES["p9_tempered_shares"](spark, str(tmp_path)).collect()}
+    assert report == used
+
+
+def test_a_target_entropy_reaches_the_draw(spark):
+    sizes, targets = corpus(spark, {"a": 3000, "b": 600, "c": 200, "other": 50}), spark.createDataFrame([("a", 0.9, 3), ("b", 0.05, 3), ("c", 0.05, 3)], TARGETS)
+    used = Counter()
+    for r in mixing.draw_mixture(sizes, targets, target_entropy=0.9).collect():
+        used[r.source] += r.tokens
+    assert set(used) == {"a", "b", "c"} and abs(mixing.entropy({s: n / sum(used.values()) for s, n in used.items()}) - 0.9) < 0.01
