@@ -52,3 +52,13 @@ def test_cells_and_empty(spark, rows):
     found = wide.cells_of(wide.wide_entities(triples, catalog, prefixes={}, with_multi=False), catalog, ["integer", "decimal", "date", "boolean"])
     assert rows(found) == [("a", "acquired_on", "1971-01-09")]
     assert wide.wide_entities(triples.limit(0), catalog, prefixes={}).count() == 0
+
+
+def test_every_value_of_a_long_cell_has_a_query(spark, tmp_path):
+    from almazara.plans import problems
+
+    triples, catalog = make(spark, [(str(i), "hot", BASE + "topic", f"t{i}", i) for i in range(wide.MAX_CELL_VALUES + 1)] + [("x", "cold", "cat:topic", "t", 1)])
+    triples.write.parquet(f"{tmp_path}/triples.parquet")
+    catalog.write.parquet(f"{tmp_path}/attribute_catalog.parquet")
+    found = {tuple(r) for r in problems.QUERIES["p4_multi_values"](spark, str(tmp_path)).collect()}
+    assert found == {("hot", "topic", f"t{i}") for i in range(wide.MAX_CELL_VALUES + 1)} | {("cold", "topic", "t")}
