@@ -69,6 +69,12 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return wide.cells_of(rows, catalog, ["integer", "decimal", "date", "boolean"])
 
 
+def p4_sets(spark: SparkSession, d: str) -> DataFrame:
+    """Characteristic sets: every exact set of columns, with its number of subjects."""
+    sets = wide.characteristic_sets(table(spark, d, "triples"), table(spark, d, "attribute_catalog"), prefixes=PREFIXES)
+    return sets.select(F.concat_ws(" ", "signature").alias("signature"), "subjects")
+
+
 #: The form of dates that needs no normalising.
 USUAL_DATE = r"^\d{2}/\d{2}/\d{4}$"
 USUAL_INSTANT = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}\.\d{6}Z$"
@@ -97,7 +103,7 @@ def p7_found(spark: SparkSession, d: str) -> DataFrame:
     return timestamps.union_all(frames)
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_grid, p2_found, p2_converted, p3_found, p4_found, p4_wide, p4_multi_values, p7_found, p7_instants)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_grid, p2_found, p2_converted, p3_found, p4_found, p4_wide, p4_multi_values, p4_sets, p7_found, p7_instants)}
 
 
 def p6_scored(spark: SparkSession, d: str) -> DataFrame:
@@ -113,6 +119,13 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
 QUERIES |= {f.__name__: f for f in (p6_found, p6_scored)}
 
 
+#: Rows of the catalogue's columns, the predicate's IRI in one form, the object trimmed (problem 4, for SQL).
+_CATALOGUED = r"""
+    iri AS (SELECT DISTINCT predicate AS way, regexp_replace(rtrim(regexp_replace(trim(predicate, ' <>'), '^(?i)cat:', 'http://catalogo.example/def/'), '/'), '^(?i)https?://catalogo\.example/', 'http://catalogo.example/') AS p FROM triples),
+    o AS (SELECT subject, trim(object, chr(9) || chr(10) || chr(13) || chr(32)) AS t, trim(object, ' []()' || chr(9) || chr(10) || chr(13)) AS bare, source_line, record_id, column_name, column_type, multi_valued
+          FROM triples JOIN iri ON predicate = way JOIN attribute_catalog a ON a.predicate = p WHERE subject IS NOT NULL AND object IS NOT NULL)
+"""
+
 #: Brute-force SQL of the same results, where SQL can say them.
 ORACLES = {
     "p1_found": """
@@ -124,6 +137,18 @@ ORACLES = {
         SELECT zone_key, CAST(minutes AS BIGINT) AS step_minutes, CAST(cell * minutes * 60 AS BIGINT) AS period_epoch
         FROM g ANTI JOIN (SELECT zone_key, minutes, cell FROM c WHERE price IS NOT NULL AND NOT isnan(price)) USING (zone_key, minutes, cell)
     """,
+    "p4_found": rf"""
+        WITH {_CATALOGUED},
+        n AS (SELECT *, CASE WHEN len(regexp_extract_all(bare, '[0-9]+(?:[.,][0-9]+)*(?:[eE][0-9]+)?')) = 1 AND NOT regexp_matches(bare, '[0-9] *[?]|[.,][.,]|[0-9] *[-/] *[0-9]') THEN (CASE WHEN regexp_matches(bare, '^[-−]') THEN '-' ELSE '' END) || regexp_extract(bare, '[0-9]+(?:[.,][0-9]+)*(?:[eE][0-9]+)?') END AS one FROM o WHERE NOT multi_valued),
+        v AS (SELECT *, CASE column_type
+            WHEN 'integer' THEN CASE WHEN regexp_matches(one, '^-?[0-9]{{1,3}}([.][0-9]{{3}})+$') THEN CAST(TRY_CAST(replace(one, '.', '') AS HUGEINT) AS VARCHAR) WHEN regexp_matches(one, '^-?[0-9]+([.]0+)?$') THEN CAST(TRY_CAST(split_part(one, '.', 1) AS HUGEINT) AS VARCHAR) END
+            WHEN 'decimal' THEN CAST(CAST(TRY_CAST(replace(CASE WHEN regexp_matches(one, ',') THEN replace(one, '.', '') ELSE one END, ',', '.') AS DOUBLE) AS DECIMAL(36, 2)) AS VARCHAR)
+            WHEN 'date' THEN CAST(CASE WHEN regexp_matches(bare, '^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}(Z|T.*)?$') THEN TRY_CAST(bare[1:10] AS DATE) WHEN regexp_matches(bare, '^[0-9]{{8}}$') THEN CAST(try_strptime(bare, '%Y%m%d') AS DATE) WHEN regexp_matches(bare, '^[0-9]{{1,2}}[-/][0-9]{{1,2}}[-/][0-9]{{4}}$') THEN CAST(try_strptime(replace(bare, '/', '-'), '%d-%m-%Y') AS DATE)
+                WHEN regexp_matches(bare, '^[0-9]+ de [a-z]+ de [0-9]{{4}}$') THEN TRY_CAST(regexp_extract(bare, '[0-9]{{4}}') || '-' || list_position(['enero', 'febrero', 'marzo', 'abril', 'mayo', 'junio', 'julio', 'agosto', 'septiembre', 'octubre', 'noviembre', 'diciembre'], split_part(bare, ' ', 3)) || '-' || split_part(bare, ' ', 1) AS DATE) END AS VARCHAR)
+            WHEN 'boolean' THEN CASE WHEN lower(bare) IN ('true', 'verdadero', 'sí', 'si', 's', '1') THEN 'true' WHEN lower(bare) IN ('false', 'falso', 'no', 'n', '0') THEN 'false' END END AS cell FROM n)
+        SELECT subject, column_name, arg_max(cell, (coalesce(source_line, -1), record_id)) AS cell_value FROM v WHERE column_type IN ('integer', 'decimal', 'date', 'boolean') AND cell IS NOT NULL GROUP BY 1, 2
+    """,
+    "p4_multi_values": rf"WITH {_CATALOGUED} SELECT DISTINCT subject, column_name, trim(t, ' ') AS value FROM o WHERE multi_valued AND trim(t, ' ') <> ''",
     "p3_found": """
         SELECT site_id, measurement_id
         FROM (SELECT measurement_id, latitude AS la, longitude AS lo FROM measurements WHERE latitude BETWEEN -90 AND 90 AND longitude BETWEEN -180 AND 180 AND NOT isnan(latitude) AND NOT isnan(longitude)) m
