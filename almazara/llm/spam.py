@@ -1,12 +1,13 @@
 """Problem 10: keyword-stuffed and link-list pages.
 
 Every line is cut into units, and every unit reduced to a shape: its kind, the
-size of its word count, how it is capitalised, its separators and its links.
-The units of a page are grouped by shape, and a page is flagged where more than
-half of its characters lie in non-sentence shapes that repeat keywords, list
-links or carry product tags. Sentences, and records such as lists of names or
-tables of figures, are left alone. One narrow pass over whole texts: no
-shuffle, no state beside the page, so pages of any skew cost the same.
+size of its word count, how it is capitalised, its chief separator and its links.
+The units of a page are grouped by shape, and a page is flagged where a few
+non-sentence shapes - repeated keywords, listed links, product tags - hold more
+than half of its characters. Sentences, and records such as lists of names or
+tables of figures, are left alone; a page of ever new shapes repeats nothing. One
+narrow pass over whole texts: no shuffle, no state beside the page, so pages of
+any skew cost the same.
 """
 
 from __future__ import annotations
@@ -18,16 +19,10 @@ from collections import Counter, defaultdict
 import pandas as pd
 from pyspark.sql import DataFrame
 
-# Frequent function words of Spanish, Catalan, French and English.
-FUNCTION_WORDS = frozenset(
-    "para como este esta esto estos estas entre sobre desde hasta cuando donde pero aunque porque según cada otro otra otros otras sido tiene tienen había será serán también muchas muchos nuestro nuestra con sin por que los las del una más "
-    "amb per dels als han està aquest aquesta però quan segons abans després sense "
-    "dans pour avec sans sur par est une des les aux leur leurs cette avant après plus "
-    "this that with from have been were which their there under after before than into without because although about".split()
-)
-
 #: Share of a page's characters beyond which it is flagged.
 FLAGGED_SHARE = 0.5
+#: Shapes that must hold that share: the largest of the page.
+FEW_SHAPES = 4
 #: Words beside each link up to which a unit is a link list and no prose.
 WORDS_PER_LINK = 12
 #: Least count and share of a page's content words at which a word repeated inside a sentence is a stuffed keyword.
@@ -83,7 +78,7 @@ def shape_of(unit: str) -> tuple[str, tuple]:
     body = _BULLET.sub("", bare, count=1)
     words = _WORD.findall(body)
     small = sum(w[0].islower() for w in words)
-    separators = "".join(sorted({m.strip() or "-" for m in _SEPARATOR.findall(body)}))
+    separators = Counter(m.strip() or "-" for m in _SEPARATOR.findall(body))
     tags = len(_HASHTAG.findall(body))
     started, ended = _STARTED.match(body), _ENDED.search(unit)
     if links and len(words) <= WORDS_PER_LINK * len(links) and not (len(links) == 1 and words and started and ended):
@@ -98,13 +93,13 @@ def shape_of(unit: str) -> tuple[str, tuple]:
         kind = "sentence"
     else:
         kind = "fragment"
-    size = 0 if not words else len(words).bit_length()
-    capitals = 0 if not small else 1 if small == len(words) else 2
-    return kind, (kind, size, capitals, separators, min(len(links), 3), bare != body)
+    size = "" if not words else "few" if len(words) <= 6 else "many"
+    capitals = "upper" if not small else "lower" if small == len(words) else "mixed"
+    return kind, (kind, size, capitals, max(separators, key=lambda m: (separators[m], m), default=""), min(len(links), 2))
 
 
 def page_shapes(text: str | None) -> tuple[int, int, int, str]:
-    """(characters in spam shapes, characters in all, spam shapes, largest spam shape) of a page."""
+    """(characters in the ``FEW_SHAPES`` largest spam shapes, characters in all, spam shapes, largest spam shape) of a page."""
     if not text or not text.strip():
         return 0, 0, 0, ""
     text = _PLAIN.sub("", text)
@@ -125,7 +120,7 @@ def page_shapes(text: str | None) -> tuple[int, int, int, str]:
         linked = sum(kind == "links" for _, kind, _ in shaped)
         loose = [(u, shape) for u, kind, shape in shaped if kind == "fragment"]
         # Fragments are keywords where their words recur on the page; short lines are menu items where the page lists links.
-        words = [[_simple(w) for w in _WORD.findall(_SPACED.sub(lambda m: " " if m.group() == "*" else "", u.lower())) if len(w) >= 4 and w not in FUNCTION_WORDS] for u, _ in loose]
+        words = [[_simple(w) for w in _WORD.findall(_SPACED.sub(lambda m: " " if m.group() == "*" else "", u.lower())) if len(w) >= 4] for u, _ in loose]
         count = Counter(w for ws in words for w in ws)
         menu = linked > 0 and 4 * linked >= sum(kind in ("fragment", "record") and any(c.isalpha() for c in u) for u, kind, _ in shaped)
         for (u, shape), ws in zip(loose, words):
@@ -138,7 +133,7 @@ def page_shapes(text: str | None) -> tuple[int, int, int, str]:
                     chars[shape] += len(u)
     if len(sentences) > 1:
         count = Counter(_WORD.findall(text.lower()))
-        content = {w: n for w, n in count.items() if len(w) >= 4 and w not in FUNCTION_WORDS}
+        content = {w: n for w, n in count.items() if len(w) >= 4}
         least = max(STUFFED_COUNT, STUFFED_SHARE * sum(content.values()))
         keywords = {w for w, n in content.items() if n >= least}
         if keywords:
@@ -149,7 +144,7 @@ def page_shapes(text: str | None) -> tuple[int, int, int, str]:
     for u, kind, shape in shaped:
         if kind in ("links", "hashtags", "tag"):
             chars[shape] += len(u)
-    spam = sum(chars.values())
+    spam = sum(sorted(chars.values())[-FEW_SHAPES:])
     largest = max(chars, key=chars.get, default=None)
     return spam, total, len(chars), "/".join(map(str, largest)) if largest else ""
 
@@ -168,7 +163,7 @@ def _score(frames):
 
 
 def page_scores(documents: DataFrame) -> DataFrame:
-    """One row per document: its spam and text characters, shapes and whether it is flagged.
+    """One row per document: its characters in few spam shapes and in all, its spam shapes and whether it is flagged.
 
     Null and blank texts have no characters and are not flagged; copies are
     judged alike; rows with a null doc_id are left out; other columns are

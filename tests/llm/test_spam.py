@@ -58,3 +58,18 @@ def test_frame(spark):
     out = {r.doc_id: r for r in spam.page_scores(df).collect()}
     assert {i for i, r in out.items() if r.flagged} == {1, 5, 7} and len(out) == 7 and out[3].text_chars == 0
     assert spam.page_scores(df.limit(0)).count() == 0
+
+
+def test_few_shapes_must_hold_the_share():
+    repeated = "\n".join(f"detector geiger, comprar | REF {i}7946 | €{i}48 | pack x{i}" for i in range(12))
+    spammy, chars, shapes, largest = spam.page_shapes(repeated)
+    assert spammy == chars and shapes == 1 and largest.startswith("tag/")
+    # The same kind of units in ever new shapes: none of them repeats enough.
+    marks = [",", ";", "/", "·", "•", "|"]
+    various = []
+    for i, m in enumerate(marks):
+        for word in ("aviso", "AVISO"):
+            for extra in (3, 9):
+                various.append(f" {m} ".join([word, "barato", *["oferta"] * extra]) + f" {m}")
+    spammy, chars, shapes, _ = spam.page_shapes("\n".join(various))
+    assert shapes > 2 * spam.FEW_SHAPES and spammy <= 0.5 * chars
