@@ -6,11 +6,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def price_record_id(dataset: Column, zone: Column, instant: Column, resolution: Column, business: Column, contract: Column, auction: Column, position: Column) -> Column:
+def price_record_id(kind: Column, zone: Column, instant: Column, resolution: Column, business: Column, contract: Column, auction: Column, position: Column) -> Column:
     """SHA-256 of the eight parts joined by a bar; null, blank and 0 are blank. FN-16."""
     iso = F.concat(F.date_format(instant, "yyyy-MM-dd'T'HH:mm:ss"), F.when(F.unix_micros(instant.cast("timestamp")) % 1_000_000 != 0, F.date_format(instant, ".SSSSSS")).otherwise(""), F.lit("+00:00"))
     place = F.when(position != 0, position.cast("string"))
-    return F.sha2(F.array_join(F.array(dataset, zone, iso, resolution, business, contract, auction, place), "|", ""), 256)
+    return F.sha2(F.array_join(F.array(kind, zone, iso, resolution, business, contract, auction, place), "|", ""), 256)
 
 
 def version_id(entity: Column, updated: Column, deleted: Column) -> Column:

@@ -1,4 +1,4 @@
-"""Planning relations: task grids, archive periods, date shards."""
+"""Planning relations: task grids, spans of exports, date shards."""
 
 from __future__ import annotations
 
@@ -11,8 +11,8 @@ def month_starts(start: Column, end: Column) -> Column:
     return F.sequence(F.trunc(start, "month"), F.trunc(F.date_sub(end, 1), "month"), F.expr("interval 1 month"))
 
 
-def task_grid(zones: DataFrame, datasets: list[str], start: str, end: str, months: int = 1) -> DataFrame:
-    """(dataset, zone_key, period_start, period_end): periods of some months clipped to each zone's validity. JN-06, PLN-01.
+def task_grid(zones: DataFrame, kinds: list[str], start: str, end: str, months: int = 1) -> DataFrame:
+    """(kind, zone_key, period_start, period_end): periods of some months clipped to each zone's validity. JN-06, PLN-01.
 
     Zones: zone_key, valid_from, valid_to (dates or text; null is open, the end
     exclusive). Periods begin at ``start``; zones outside it give no task.
@@ -20,14 +20,14 @@ def task_grid(zones: DataFrame, datasets: list[str], start: str, end: str, month
     s, e = F.to_date(F.lit(start)), F.to_date(F.lit(end))
     begins = F.sequence(s, F.date_sub(e, 1), F.expr(f"interval {int(months)} month"))
     z = zones.select("zone_key", F.coalesce(F.to_date("valid_from"), s).alias("valid_from"), F.coalesce(F.to_date("valid_to"), e).alias("valid_to"))
-    rows = z.select("*", F.explode(F.array(*[F.lit(d) for d in datasets])).alias("dataset")).select("*", F.explode(begins).alias("begin"))
+    rows = z.select("*", F.explode(F.array(*[F.lit(k) for k in kinds])).alias("kind")).select("*", F.explode(begins).alias("begin"))
     lo = F.greatest("begin", "valid_from", s)
     hi = F.least(F.add_months("begin", months), F.col("valid_to"), e)
-    return rows.select("dataset", "zone_key", lo.alias("period_start"), hi.alias("period_end")).where(F.col("period_start") < F.col("period_end"))
+    return rows.select("kind", "zone_key", lo.alias("period_start"), hi.alias("period_end")).where(F.col("period_start") < F.col("period_end"))
 
 
-def archive_period(name: Column) -> Column:
-    """struct(kind, first_day, last_day) of an event archive's file name, or null. FLT-06, PLN-04.
+def span_named(name: Column) -> Column:
+    """struct(kind, first_day, last_day) that the file name of a yearly, monthly or daily export tells, or null. FLT-06, PLN-04.
 
     Years 1979 to 2005, months 2006-01 to 2013-03, days from 2013-04-01 on.
     """

@@ -241,7 +241,7 @@ def jn06_half_open_interval(spark: SparkSession, d: str) -> DataFrame:
     return relational.within(o, q, "o_orderdate", "q_start", "q_end", on=["y"]).select("o_orderkey", "quarter")
 
 
-@query("WITH z AS (SELECT zone_key, coalesce(TRY_CAST(valid_from AS DATE), DATE '2025-01-01') AS f, coalesce(TRY_CAST(valid_to AS DATE), DATE '2026-07-01') AS t FROM zones), g AS (SELECT d AS dataset, zone_key, f, t, CAST(b AS DATE) AS b FROM z, (SELECT unnest(['day_ahead_prices', 'actual_load']) AS d), (SELECT unnest(generate_series(DATE '2025-01-01', DATE '2026-06-30', INTERVAL 1 MONTH)) AS b)) SELECT dataset, zone_key, greatest(b, f, DATE '2025-01-01') AS period_start, least(CAST(b + INTERVAL 1 MONTH AS DATE), t, DATE '2026-07-01') AS period_end FROM g WHERE greatest(b, f) < least(CAST(b + INTERVAL 1 MONTH AS DATE), t, DATE '2026-07-01')")
+@query("WITH z AS (SELECT zone_key, coalesce(TRY_CAST(valid_from AS DATE), DATE '2025-01-01') AS f, coalesce(TRY_CAST(valid_to AS DATE), DATE '2026-07-01') AS t FROM zones), g AS (SELECT d AS kind, zone_key, f, t, CAST(b AS DATE) AS b FROM z, (SELECT unnest(['day_ahead_prices', 'actual_load']) AS d), (SELECT unnest(generate_series(DATE '2025-01-01', DATE '2026-06-30', INTERVAL 1 MONTH)) AS b)) SELECT kind, zone_key, greatest(b, f, DATE '2025-01-01') AS period_start, least(CAST(b + INTERVAL 1 MONTH AS DATE), t, DATE '2026-07-01') AS period_end FROM g WHERE greatest(b, f) < least(CAST(b + INTERVAL 1 MONTH AS DATE), t, DATE '2026-07-01')")
 def pln01_task_grid(spark: SparkSession, d: str) -> DataFrame:
     """Monthly download tasks clipped to each zone's validity."""
     return planning.task_grid(table(spark, d, "zones"), ["day_ahead_prices", "actual_load"], "2025-01-01", "2026-07-01")

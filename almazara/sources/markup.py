@@ -26,7 +26,7 @@ _SERIES = f"struct<mRID:string,businessType:string,`contract_MarketAgreement.typ
 MARKET_DOCUMENT = f"mRID string, revisionNumber string, TimeSeries array<{_SERIES}>"
 
 
-def market_rows(documents: DataFrame, dataset: str, zones: DataFrame) -> DataFrame:
+def market_rows(documents: DataFrame, kind: str, zones: DataFrame) -> DataFrame:
     """Price or load records of market documents. SRC-17, NS-06, FLT-02, FLT-10, FN-14 to FN-16.
 
     ``documents``: text, zone_key, source_file; ``zones``: zone_key, name,
@@ -34,7 +34,7 @@ def market_rows(documents: DataFrame, dataset: str, zones: DataFrame) -> DataFra
     acknowledgements, points without position or value, prices of contracts
     other than A01, and steps without a fixed length give nothing.
     """
-    priced = dataset == "day_ahead_prices"
+    priced = kind == "day_ahead_prices"
     d = documents.where(~F.col("text").contains("Acknowledgement_MarketDocument")).select("zone_key", "source_file", F.from_xml("text", MARKET_DOCUMENT, XML_OPTIONS).alias("d"))
     s = d.select("zone_key", "source_file", F.col("d.mRID").alias("document_id"), F.when(F.col("d.revisionNumber").rlike(r"^\d+$"), F.col("d.revisionNumber").cast("int")).alias("revision_number"), F.explode("d.TimeSeries").alias("s"))
     f = lambda name: F.col("s").getField(name)
@@ -49,8 +49,8 @@ def market_rows(documents: DataFrame, dataset: str, zones: DataFrame) -> DataFra
     q = q.withColumn("timestamp_utc", temporal.step_instant(F.col("start"), F.col("step"), F.col("position")))
     z = zones.select("zone_key", F.col("name").alias("zone_name"), "country_code", "eic_code")
     c = F.col
-    q = q.join(z, "zone_key", "left").withColumn("record_id", ids.price_record_id(F.lit(dataset), c("zone_key"), c("timestamp_utc"), c("resolution"), c("business_type"), c("contract_type"), c("auction_type"), c("classification_position")))
-    return schemas.conform(q.withColumn("price" if priced else "load", c("value")), f"entsoe.{dataset}")
+    q = q.join(z, "zone_key", "left").withColumn("record_id", ids.price_record_id(F.lit(kind), c("zone_key"), c("timestamp_utc"), c("resolution"), c("business_type"), c("contract_type"), c("auction_type"), c("classification_position")))
+    return schemas.conform(q.withColumn("price" if priced else "load", c("value")), f"entsoe.{kind}")
 
 
 # Elements of a procurement feed.

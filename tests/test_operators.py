@@ -55,7 +55,7 @@ def test_gate(spark):
 
 def test_archive_periods(spark):
     names = ["1979.zip", "2005.zip", "2006.zip", "200601.zip", "201303.zip", "201304.zip", "20130401.export.CSV.zip", "20130331.export.CSV.zip", "201313.zip", "x.zip"]
-    got = [r.p.kind if r.p else None for r in spark.createDataFrame([(i, n) for i, n in enumerate(names)], "i int, n string").select("i", planning.archive_period(F.col("n")).alias("p")).orderBy("i").collect()]
+    got = [r.p.kind if r.p else None for r in spark.createDataFrame([(i, n) for i, n in enumerate(names)], "i int, n string").select("i", planning.span_named(F.col("n")).alias("p")).orderBy("i").collect()]
     assert got == ["year", "year", None, "month", "month", None, "day", None, None, None]
 
 
