@@ -22,8 +22,8 @@ from almazara.runtime import materialize
 MAX_BUCKETS = 512
 #: Parts of a bucket in which items are numbered side by side.
 PARTS = 256
-#: Largest capacity whose histogram the driver works on.
-MAX_CAPACITY = 1_000_000
+#: Steps of a capacity in which lengths are counted: one token each up to this many, wider ones beyond, lengths rounded up.
+STEPS = 1_000_000
 
 
 def bucket_bounds(histogram: dict[int, int], max_buckets: int = MAX_BUCKETS) -> list[int]:
@@ -139,37 +139,44 @@ def pack_items(sizes: DataFrame, capacities: list[tuple[str, int]], *, max_bucke
     input gives no rows.
     """
     spark = sizes.sparkSession
-    if len({n for n, _ in capacities}) != len(capacities) or any(not 0 < c <= MAX_CAPACITY for _, c in capacities):
-        raise ValueError(f"pack names must be distinct and capacities between 1 and {MAX_CAPACITY}")
+    if len({n for n, _ in capacities}) != len(capacities) or any(c <= 0 for _, c in capacities):
+        raise ValueError("pack names must be distinct and capacities positive")
     out = "pack_name string, container_id string, doc_id long, piece long, start_token long, tokens long"
     if not capacities:
         return spark.createDataFrame([], out)
-    packs = F.array(*[F.struct(F.lit(n).alias("pack_name"), F.lit(c).cast("long").alias("capacity")) for n, c in capacities])
+    step = {n: -(-c // STEPS) for n, c in capacities}
+    packs = F.array(*[F.struct(F.lit(n).alias("pack_name"), F.lit(c).cast("long").alias("capacity"), F.lit(step[n]).cast("long").alias("step")) for n, c in capacities])
     items = sizes.select("item_id", "doc_id", F.col("tokens").alias("all_tokens"), F.explode(packs).alias("p")).select("item_id", "doc_id", "all_tokens", "p.*")
     whole = F.when(F.col("all_tokens") > F.col("capacity"), F.floor(F.col("all_tokens") / F.col("capacity"))).otherwise(0).cast("long")
     items = items.withColumn("whole", whole).withColumn("size", F.col("all_tokens") - F.col("whole") * F.col("capacity"))
-    histogram = items.where(F.col("size") > 0).groupBy("pack_name", "size").count().collect()
+    # A length of a last, narrower step fills the container by itself.
+    items = items.withColumn("steps", F.least(F.ceil(F.col("size") / F.col("step")), F.floor(F.col("capacity") / F.col("step"))))
+    histogram = items.where(F.col("size") > 0).groupBy("pack_name", "steps").count().collect()
     class_rows, batch_rows = [], []
     for name, capacity in capacities:
-        counts = {r["size"]: r["count"] for r in histogram if r["pack_name"] == name}
+        counts = {r["steps"]: r["count"] for r in histogram if r["pack_name"] == name}
         bounds = bucket_bounds(counts, max_buckets)
         by_bound: dict[int, int] = {}
         for n, c in counts.items():
             bound = bounds[bisect_left(bounds, n)]
             by_bound[bound] = by_bound.get(bound, 0) + c
             class_rows.append((name, n, bound))
-        batches, _ = plan_batches(by_bound, capacity)
+        batches, _ = plan_batches(by_bound, capacity // step[name])
         batch_rows += [(name, b.bound, b.first_item, b.first_item + b.items, b.first, b.per) for b in batches]
     # Both tables are as long as the histogram at most, not as the data; written down, their size is known to Catalyst.
-    classes = materialize(spark.createDataFrame(class_rows, "pack_name string, size long, bound long").coalesce(1), "classes")
+    classes = materialize(spark.createDataFrame(class_rows, "pack_name string, steps long, bound long").coalesce(1), "classes")
     batches = materialize(spark.createDataFrame(batch_rows, "pack_name string, bound long, from_rank long, to_rank long, first long, per long").coalesce(1), "batches")
-    rest = items.where(F.col("size") > 0).join(classes, ["pack_name", "size"]).withColumn("part", F.pmod(F.xxhash64("item_id"), F.lit(PARTS)))
+    rest = items.where(F.col("size") > 0).join(classes, ["pack_name", "steps"]).withColumn("part", F.pmod(F.xxhash64("item_id"), F.lit(PARTS)))
     parts = rest.groupBy("pack_name", "bound", "part").agg(F.count("*").alias("n"))
     before = F.coalesce(F.sum("n").over(Window.partitionBy("pack_name", "bound").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    parts = parts.select("pack_name", "bound", "part", before.alias("before"))
+    parts = parts.select("pack_name", "bound", "part", before.alias("before"), "n")
+    # The batches that a part's ranks meet, by part: the items themselves meet one row each.
+    meets = (F.col("from_rank") < F.col("before") + F.col("n")) & (F.col("to_rank") > F.col("before"))
+    parts = parts.join(batches, ["pack_name", "bound"]).where(meets).groupBy("pack_name", "bound", "part", "before").agg(F.collect_list(F.struct("from_rank", "to_rank", "first", "per")).alias("batches"))
     number = F.row_number().over(Window.partitionBy("pack_name", "bound", "part").orderBy("item_id"))
     ranked = rest.withColumn("number", number - 1).join(parts, ["pack_name", "bound", "part"]).withColumn("rank", F.col("before") + F.col("number"))
-    placed = ranked.join(batches, ["pack_name", "bound"]).where((F.col("from_rank") <= F.col("rank")) & (F.col("rank") < F.col("to_rank")))
+    own_batch = F.filter("batches", lambda b: (b["from_rank"] <= F.col("rank")) & (F.col("rank") < b["to_rank"]))[0]
+    placed = ranked.withColumn("batch", own_batch).select("*", "batch.*")
     bin_ = (F.col("first") + F.floor((F.col("rank") - F.col("from_rank")) / F.col("per"))).cast("string")
     placed = placed.select("pack_name", F.concat(F.col("pack_name"), F.lit("-"), bin_).alias("container_id"), "doc_id", F.col("whole").alias("piece"), (F.col("whole") * F.col("capacity")).alias("start_token"), F.col("size").alias("tokens"))
     pieces = items.where(F.col("whole") > 0).select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("whole") - 1)).alias("piece"))

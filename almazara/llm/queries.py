@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 from almazara.llm import mixing, ocr, packing, spam, tokens
 from almazara.runtime import table
@@ -32,6 +33,18 @@ def p8_fill(spark: SparkSession, d: str) -> DataFrame:
     return packing.pack_report(p8_packed(spark, d), _capacities(spark, d))
 
 
+def p8_checks(spark: SparkSession, d: str) -> DataFrame:
+    """Per capacity: documents packed, tokens lost or doubled, containers over the capacity, documents cut without need."""
+    sizes, packs = tokens.token_sizes(table(spark, d, "documents")), _capacities(spark, d)
+    capacity = table(spark, d, "pack_capacities")
+    packed = packing.pack_items(sizes, packs).join(capacity, "pack_name")
+    over = packed.groupBy("pack_name", "container_id").agg((F.sum("tokens") > F.first("capacity_tokens")).cast("long").alias("over")).groupBy("pack_name").agg(F.sum("over").alias("over_capacity"))
+    by_document = packed.groupBy("pack_name", "capacity_tokens", "doc_id").agg(F.sum("tokens").alias("packed"), F.count("*").alias("pieces"))
+    own = sizes.groupBy("doc_id").agg(F.sum("tokens").alias("own"), F.max("tokens").alias("longest"), F.count("*").alias("copies"))
+    seen = by_document.join(own, "doc_id").groupBy("pack_name").agg(F.count("*").alias("documents"), F.sum(F.abs(F.col("packed") - F.col("own"))).alias("tokens_off"), F.sum(((F.col("longest") <= F.col("capacity_tokens")) & (F.col("pieces") > F.col("copies"))).cast("long")).alias("cut"))
+    return seen.join(over, "pack_name").select("pack_name", "documents", "tokens_off", "over_capacity", "cut")
+
+
 def p9_mixture(spark: SparkSession, d: str) -> DataFrame:
     """The documents of the mixture, with pass and block."""
     return mixing.draw_mixture(tokens.token_sizes(table(spark, d, "documents")), table(spark, d, "mix_targets"))
@@ -58,6 +71,29 @@ def p9_tempered_shares(spark: SparkSession, d: str) -> DataFrame:
     return mixing.mixture_report(*_tempered(spark, d))
 
 
+def p9_checks(spark: SparkSession, d: str) -> DataFrame:
+    """Per source: whether its share is met within a document's size and no document is used too often."""
+    sizes, targets = tokens.token_sizes(table(spark, d, "documents")), table(spark, d, "mix_targets")
+    drawn = mixing.draw_mixture(sizes, targets)
+    most = drawn.groupBy("source", "doc_id").agg(F.count("*").alias("used")).groupBy("source").agg(F.max("used").alias("used"))
+    longest = sizes.groupBy("source").agg(F.max("tokens").alias("longest"))
+    report = mixing.mixture_report(drawn, sizes, targets).join(most, "source", "left").join(longest, "source", "left")
+    total = drawn.agg(F.sum("tokens").alias("total"))
+    near = F.abs(F.col("actual_share") - F.col("target_share")) * F.col("total") <= 2 * F.max("longest").over(Window.partitionBy(F.lit(1)))
+    # The report has a row for each source of the targets, the total is one row.
+    return report.join(total).select("source", near.alias("share_met"), (F.coalesce("used", F.lit(0)) <= F.col("max_repeats")).alias("within_repeats"))
+
+
+#: Entropy aimed at by ``p9_entropy``, in nats; nine even sources have 2.197.
+ENTROPY = 2.0
+
+
+def p9_entropy(spark: SparkSession, d: str) -> DataFrame:
+    """The mixture of the tempered natural shares whose entropy is ``ENTROPY``, of as many tokens as the corpus has."""
+    sizes, targets = tokens.token_sizes(table(spark, d, "documents")), table(spark, d, "mix_targets")
+    return mixing.draw_mixture(sizes, targets, target_entropy=ENTROPY, total_tokens=mixing.corpus_total(sizes, targets))
+
+
 def p10_scored(spark: SparkSession, d: str) -> DataFrame:
     """Every document with its share of spam shapes."""
     return spam.page_scores(table(spark, d, "documents"))
@@ -68,4 +104,10 @@ def p10_found(spark: SparkSession, d: str) -> DataFrame:
     return p10_scored(spark, d).where("flagged").select("doc_id").distinct()
 
 
-QUERIES = {f.__name__: f for f in (p5_found, p5_repaired, p8_packed, p8_fill, p9_mixture, p9_shares, p9_tempered, p9_tempered_shares, p10_found, p10_scored)}
+QUERIES = {f.__name__: f for f in (p5_found, p5_repaired, p8_packed, p8_fill, p8_checks, p9_mixture, p9_shares, p9_checks, p9_tempered, p9_tempered_shares, p9_entropy, p10_found, p10_scored)}
+
+#: What must hold of the results, as SQL can say it.
+ORACLES = {
+    "p8_checks": "SELECT pack_name, (SELECT count(DISTINCT doc_id) FROM documents WHERE text <> '') AS documents, CAST(0 AS BIGINT) AS tokens_off, CAST(0 AS BIGINT) AS over_capacity, CAST(0 AS BIGINT) AS cut FROM pack_capacities",
+    "p9_checks": "SELECT source, true AS share_met, true AS within_repeats FROM mix_targets",
+}

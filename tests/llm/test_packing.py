@@ -72,3 +72,9 @@ def test_report(spark):
     df = spark.createDataFrame([(0, 1, 6), (1, 2, 4), (2, 3, 5)], SCHEMA)
     (r,) = packing.pack_report(packing.pack_items(df, [("a", 10)]), [("a", 10)]).collect()
     assert (r.containers, r.tokens, r.fullest, r.fill) == (2, 15, 10, 0.75)
+
+
+def test_very_large_capacities(spark):
+    sizes = [2_999_999, 1_500_000, 1_499_999, 3, 3_000_001, 6_000_000, 700_000, 2]
+    for _, used, least in check(spark, sizes, [("a", 3_000_000)]):
+        assert used <= least + 1
