@@ -3,21 +3,29 @@
 Everything is done with unit vectors on the sphere, so the poles and the
 antimeridian are no special cases. A region (a polygon, or the polygon drawn
 around a circle) is projected gnomonically about its middle, where great
-circles are straight lines, and cut into triangles by ear clipping. The
-triangles go into a bounding-volume hierarchy of 3-D boxes; points descend it in
-batches, candidate triangles are tested exactly by triple products, and a point
-on a shared side is assigned to its region once.
+circles are straight lines, and cut into triangles by ear clipping on the
+executors. Triangles and points are routed to cubes of space: a region goes to the
+cubes of its own size that its triangles meet, eight at most each, a point to one
+cube of every size in use. Points of cubes without a region go no further. Blocks of cubes are
+worked on together, and a block of very many points is split. In each part a
+bounding-volume hierarchy of 3-D boxes is built over the block's triangles; points
+descend it in batches,
+candidate triangles are tested exactly by triple products, and a point on a shared
+side is assigned to its region once. The plan is the same for any number of regions.
 """
 
 from __future__ import annotations
 
 import math
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from almazara.runtime import materialize
+
 #: Radius of the sphere, metres (fixed value).
 EARTH_M = 6_371_008.8
 #: Corners of the polygon drawn around a circle.
@@ -26,8 +34,12 @@ CORNERS = 8
 WIDTH = 16
 #: Slack of boxes and side tests, in units of the sphere's radius (about 6 mm).
 SLACK = 1e-9
-#: Regions up to this many are sent to the executors as one hierarchy; more go by cells.
-MAX_SENT = 100_000
+#: Halvings of the smallest cubes: sides of 2 / 2 ** LEVELS radii, some 50 km.
+LEVELS = 8
+#: Halvings between a cube and the block of cubes whose triangles make one hierarchy.
+BLOCK = 4
+#: Points of a block from which it is split into parts.
+PART_POINTS = 100_000
 
 
 def unit_vectors(lat: np.ndarray, lon: np.ndarray) -> np.ndarray:
@@ -73,32 +85,49 @@ def ear_clip(xy: np.ndarray) -> list[tuple[int, int, int]]:
     return out
 
 
-def circle_triangles(lat: float, lon: float, radius_m: float) -> np.ndarray:
-    """(k, 3, 3) triangles whose union holds the circle.
+@lru_cache(maxsize=1)
+def _round() -> tuple[np.ndarray, np.ndarray]:
+    """(corners, triangles) of the regular polygon about a circle of radius 1."""
+    turn = 2 * np.pi * np.arange(CORNERS) / CORNERS
+    xy = np.stack([np.cos(turn), np.sin(turn)], axis=1)
+    return xy / math.cos(math.pi / CORNERS), np.array(ear_clip(xy))
+
+
+def circle_triangles(lat: np.ndarray, lon: np.ndarray, radius_m: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """((k, 3, 3) triangles, (k) number of the circle) whose unions hold the circles.
 
-    Circles beyond an eighth of the sphere's girth take the eight octants.
+    All circles are cut alike, as their polygons differ in size only. Circles
+    beyond an eighth of the sphere's girth take the eight octants.
     """
-    angle = radius_m / EARTH_M * (1 + 1e-9) + SLACK
-    if angle >= math.pi / 4:
-        e = np.eye(3)
-        return np.array([[sx * e[0], sy * e[1], sz * e[2]] for sx in (1, -1) for sy in (1, -1) for sz in (1, -1)])
-    m = unit_vectors(np.array([lat]), np.array([lon]))[0]
-    e1, e2 = _frame(m)
-    turn = 2 * np.pi * np.arange(CORNERS) / CORNERS
-    r = math.tan(angle) / math.cos(math.pi / CORNERS)
-    xy = np.stack([r * np.cos(turn), r * np.sin(turn)], axis=1)
-    return _lift(xy, m, e1, e2)
+    angle = np.asarray(radius_m, float) / EARTH_M * (1 + 1e-9) + SLACK
+    small = np.flatnonzero(angle < math.pi / 4)
+    m = unit_vectors(np.asarray(lat, float)[small], np.asarray(lon, float)[small])
+    axis = np.eye(3)[np.abs(m).argmin(axis=1)] if len(m) else np.zeros((0, 3))
+    e1 = np.cross(axis, m)
+    e1 /= np.linalg.norm(e1, axis=1, keepdims=True)
+    e2 = np.cross(m, e1)
+    xy, cut = _round()
+    r = np.tan(angle[small])[:, None, None]
+    v = m[:, None] + r * (xy[:, :1] * e1[:, None] + xy[:, 1:] * e2[:, None])
+    v /= np.linalg.norm(v, axis=2, keepdims=True)
+    tri, owner = v[:, cut].reshape(-1, 3, 3), np.repeat(small, len(cut))
+    large = np.flatnonzero(angle >= math.pi / 4)
+    octants = np.array([np.diag([x, y, z]) for x in (1.0, -1.0) for y in (1.0, -1.0) for z in (1.0, -1.0)])
+    return np.concatenate([tri, np.tile(octants, (len(large), 1, 1))]), np.concatenate([owner, np.repeat(large, 8)])
 
 
 def polygon_triangles(lat: list[float], lon: list[float]) -> np.ndarray:
-    """(k, 3, 3) triangles of a polygon of great-circle sides, which must fit in a hemisphere."""
-    v = unit_vectors(np.asarray(lat, float), np.asarray(lon, float))
+    """(k, 3, 3) triangles of a polygon of great-circle sides; none for one that doesn't fit in a hemisphere or has a corner that is at no place."""
+    corners = np.array([lat, lon], float)
+    if not (np.isfinite(corners).all() and (np.abs(corners[0]) <= 90).all() and (np.abs(corners[1]) <= 180).all()):
+        return np.zeros((0, 3, 3))
+    v = unit_vectors(*corners)
     m = v.mean(axis=0)
-    m /= np.linalg.norm(m)
-    if (v @ m).min() <= 1e-6:
-        raise ValueError("a polygon must lie within one hemisphere")
-    e1, e2 = _frame(m)
+    m /= max(np.linalg.norm(m), 1e-12)
     d = v @ m
+    if d.min() <= 1e-6:
+        return np.zeros((0, 3, 3))
+    e1, e2 = _frame(m)
     return _lift(np.stack([v @ e1 / d, v @ e2 / d], axis=1), m, e1, e2)
 
 
@@ -109,15 +138,19 @@ def _lift(xy: np.ndarray, m: np.ndarray, e1: np.ndarray, e2: np.ndarray) -> np.n
     return np.array([[v[a], v[b], v[c]] for a, b, c in tri]).reshape(-1, 3, 3)
 
 
+def boxes(triangles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Least and greatest corners of the boxes of spherical triangles: their corners, and the bulge of the sphere over the flat triangle."""
+    low, high = triangles.min(axis=1), triangles.max(axis=1)
+    side = np.linalg.norm(triangles - np.roll(triangles, 1, axis=1), axis=2).max(axis=1) if len(triangles) else np.zeros(0)
+    bulge = np.minimum(side * side / 2, 1.0)[:, None] + SLACK
+    return low - bulge, high + bulge
+
+
 class Hierarchy:
     """Bounding-volume hierarchy over spherical triangles, ``WIDTH`` children a node."""
 
     def __init__(self, triangles: np.ndarray, owner: np.ndarray) -> None:
-        # The box of a spherical triangle: its corners, and the bulge of the sphere over the flat triangle.
-        low, high = triangles.min(axis=1), triangles.max(axis=1)
-        side = np.linalg.norm(triangles - np.roll(triangles, 1, axis=1), axis=2).max(axis=1) if len(triangles) else np.zeros(0)
-        bulge = np.minimum(side * side / 2, 1.0)[:, None] + SLACK
-        low, high = low - bulge, high + bulge
+        low, high = boxes(triangles)
         # Along a space-filling order of the middles, neighbours share nodes.
         mid = ((low + high) / 2 + 1) / 2
         key = np.zeros(len(mid), np.int64)
@@ -129,7 +162,8 @@ class Hierarchy:
         self.triangles, self.owner = triangles[order], owner[order]
         a, b, c = (self.triangles[:, i] for i in range(3))
         sign = np.sign(np.einsum("ij,ij->i", np.cross(a, b), c))[:, None]
-        self.normals = np.stack([np.cross(a, b), np.cross(b, c), np.cross(c, a)], axis=1) * sign[:, None]
+        normals = np.stack([np.cross(a, b), np.cross(b, c), np.cross(c, a)], axis=1) * sign[:, None]
+        self.normals = normals / np.maximum(np.linalg.norm(normals, axis=2, keepdims=True), 1e-300)
         self.levels = [(low[order], high[order])]
         while len(self.levels[0][0]) > WIDTH:
             lo, hi = self.levels[0]
@@ -169,159 +203,136 @@ def distance_m(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column
     return F.asin(F.least(F.lit(1.0), F.sqrt(a))) * (2 * EARTH_M)
 
 
-def _batches(tree: Hierarchy, ids: np.ndarray, chunk: int = 4096):
-    """A function for mapInPandas: (pid, lat, lon) to (pid, rid)."""
-
-    def run(frames):
-        for frame in frames:
-            for at in range(0, len(frame), chunk):
-                part = frame.iloc[at : at + chunk]
-                v = unit_vectors(part["lat"].to_numpy(), part["lon"].to_numpy())
-                p, owner = tree.find(v)
-                if len(p):
-                    yield pd.DataFrame({"pid": part["pid"].to_numpy()[p], "rid": ids[owner]})
-
-    return run
-
-
-#: Cells of the way by cells: degrees of latitude and longitude of one cell.
-CELL_DEG = 0.25
-
-
-def _cells_of_triangles(frames):
-    """(rid, x1..z3) rows to one row for each cell that the triangle's box of latitude and longitude meets."""
-    for frame in frames:
-        rows = []
-        for rid, *xyz in frame.itertuples(index=False):
-            t = np.array(xyz).reshape(3, 3)
-            side = np.linalg.norm(t - np.roll(t, 1, axis=0), axis=1).max()
-            pad = math.degrees(min(side * side / 2 + 1e-8, 4.0))
-            lat = np.degrees(np.arcsin(np.clip(t[:, 2], -1, 1)))
-            lo_la, hi_la = max(lat.min() - pad, -90.0), min(lat.max() + pad, 90.0)
-            n = np.cross(t, np.roll(t, -1, axis=0))
-            n *= np.sign(np.linalg.det(t)) or 1
-            polar = any((n @ np.array([0, 0, s]) >= -SLACK).all() for s in (1.0, -1.0))
-            lon = np.degrees(np.arctan2(t[:, 1], t[:, 0]))
-            if polar:
-                spans = [(-180.0, 180.0)]
-                hi_la, lo_la = (90.0, lo_la) if lat.mean() > 0 else (hi_la, -90.0)
-            else:
-                if np.ptp(lon) > 180:
-                    lon = np.where(lon < 0, lon + 360, lon)
-                w = pad / max(math.cos(math.radians(max(abs(lo_la), abs(hi_la)))), 1e-6)
-                a, b = lon.min() - w, lon.max() + w
-                spans = [(-180.0, 180.0)] if b - a >= 360 else [(a, b)] if b <= 180 and a >= -180 else [(a, 180.0), (-180.0, b - 360)] if b > 180 else [(a + 360, 180.0), (-180.0, b)]
-            for row in range(int((lo_la + 90) // CELL_DEG), int((hi_la + 90) // CELL_DEG) + 1):
-                for a, b in spans:
-                    for col in range(int((a + 180) // CELL_DEG), int((b + 180) // CELL_DEG) + 1):
-                        rows.append((row * 100_000 + col, rid, *xyz))
-        if rows:
-            yield pd.DataFrame(rows, columns=["cell", "rid", *_XYZ])
-
-
 _XYZ = [f"{axis}{i}" for i in (1, 2, 3) for axis in "xyz"]
+_REGION = ["rid", "rlat", "rlon", "radius_m"]
 
 
-def _triangle_rows(regions: pd.DataFrame) -> pd.DataFrame:
-    out = []
-    for r in regions.itertuples(index=False):
-        tri = circle_triangles(r.lat, r.lon, r.radius_m) if r.radius_m is not None and r.radius_m == r.radius_m else polygon_triangles(list(r.lats), list(r.lons))
-        out += [(r.rid, *t.ravel()) for t in tri]
-    return pd.DataFrame(out, columns=["rid", *_XYZ])
-
-
-def candidate_pairs(points: DataFrame, regions: DataFrame, *, max_sent: int = MAX_SENT) -> DataFrame:
-    """(rid, pid) of every point in a region's triangles, each pair once.
+def _routed_triangles(frames):
+    """Regions to rows of (cube, region, triangle): each triangle once for each cube of its region's size that its box meets."""
+    for frame in frames:
+        is_round = frame["radius_m"].notna().to_numpy()
+        at = np.flatnonzero(is_round)
+        tri, owner = circle_triangles(*(frame[c].to_numpy(float)[at] for c in ("rlat", "rlon", "radius_m")))
+        cut = [(polygon_triangles(list(frame["lats"].iloc[i]), list(frame["lons"].iloc[i])), i) for i in np.flatnonzero(~is_round)]
+        tri = np.concatenate([tri, *[t for t, _ in cut]])
+        owner = np.concatenate([at[owner], *[np.full(len(t), i) for t, i in cut]]).astype(np.int64)
+        if not len(tri):
+            continue
+        low, high = boxes(tri)
+        extent = np.zeros(len(frame))
+        np.maximum.at(extent, owner, (high - low).max(axis=1))
+        level = np.clip(np.floor(np.log2(2 / np.maximum(extent, 1e-12))), 0, LEVELS).astype(np.int64)[owner]
+        first, last = (np.floor((np.clip(c, -1, 1) + 1) * 2.0 ** level[:, None] / 2).astype(np.int64) for c in (low, high))
+        # A box is no wider than a cube of its size: it meets two at most along each axis.
+        for step in np.ndindex(2, 2, 2):
+            place = first + step
+            meets = (place <= last).all(axis=1)
+            i, j, k = place[meets].T
+            region = frame.iloc[owner[meets]]
+            rows = pd.DataFrame(tri[meets].reshape(-1, 9), columns=_XYZ)
+            rows.insert(0, "cube", ((level[meets] * 1024 + i) * 1024 + j) * 1024 + k)
+            for n, c in enumerate(_REGION):
+                rows.insert(n + 1, c, region[c].to_numpy())
+            if len(rows):
+                yield rows
+
+
+def _cube(level: Column) -> Column:
+    """Number of the cube of a level that holds the unit vector (px, py, pz)."""
+    side = lambda c: F.floor((F.col(c) + 1) * F.pow(F.lit(2.0), level) / 2)
+    return ((level.cast("long") * 1024 + side("px")) * 1024 + side("py")) * 1024 + side("pz")
+
+
+def _test_part(points: pd.DataFrame, regions: pd.DataFrame, batch: int = 4096) -> pd.DataFrame:
+    """(rid, pid) of a part of a block, each pair once: the hierarchy, then the exact distance where a region has a radius."""
+    if not len(points) or not len(regions):
+        return pd.DataFrame({"rid": np.zeros(0, np.int64), "pid": np.zeros(0, np.int64)})
+    regions = regions.drop_duplicates(["rid", *_XYZ])
+    ids, owner = np.unique(regions["rid"].to_numpy(), return_inverse=True)
+    tree = Hierarchy(regions[_XYZ].to_numpy(float).reshape(-1, 3, 3), owner)
+    one = regions.drop_duplicates("rid").set_index("rid").loc[ids]
+    lat, lon, radius = (one[c].to_numpy(float) for c in ("rlat", "rlon", "radius_m"))
+    rids, pids = [], []
+    for at in range(0, len(points), batch):
+        part = points.iloc[at : at + batch]
+        la, lo = part["lat"].to_numpy(), part["lon"].to_numpy()
+        p, k = tree.find(unit_vectors(la, lo))
+        a1, a2 = np.radians(la[p]), np.radians(lat[k])
+        h = np.sin((a2 - a1) / 2) ** 2 + np.cos(a1) * np.cos(a2) * np.sin(np.radians(lon[k] - lo[p]) / 2) ** 2
+        near = np.isnan(radius[k]) | (2 * EARTH_M * np.arcsin(np.minimum(1.0, np.sqrt(h))) <= radius[k])
+        rids.append(ids[k[near]])
+        pids.append(part["pid"].to_numpy()[p[near]])
+    return pd.DataFrame({"rid": np.concatenate(rids), "pid": np.concatenate(pids)}).drop_duplicates()
+
+
+def region_pairs(points: DataFrame, regions: DataFrame, *, part_points: int = PART_POINTS) -> DataFrame:
+    """(rid, pid) of every point in a region, each pair once.
 
     ``points``: pid long, lat, lon, good coordinates only. ``regions``: rid long,
-    lat, lon, radius_m (null for polygons), lats, lons (arrays). Up to
-    ``max_sent`` regions (counted first) the hierarchy is built once and sent to
-    the workers, and points are not shuffled at all. More regions are met by an
-    equi-join on cells of ``CELL_DEG`` degrees, where each cell's own triangles are
-    tested by expressions; Catalyst splits cells that hold many points.
+    rlat, rlon, radius_m (null for polygons), lats, lons (arrays). A region lies in
+    cubes of one size and a point in one of them, so no pair is found twice; rows
+    of one pid come into one part. The cubes in use, their blocks and the parts of
+    these are small tables written down: Catalyst knows their size and sends them to
+    the points where it is under its threshold, else shuffles.
     """
     spark = points.sparkSession
-    head = regions.limit(max_sent + 1).toPandas()
-    if len(head) <= max_sent:
-        tri = _triangle_rows(head)
-        if not len(tri):
-            return spark.createDataFrame([], "pid long, rid long")
-        tree = Hierarchy(tri[_XYZ].to_numpy(float).reshape(-1, 3, 3), tri["rid"].to_numpy())
-        ids, owner = np.unique(tree.owner, return_inverse=True)
-        tree.owner = owner
-        return points.select("pid", "lat", "lon").mapInPandas(_batches(tree, ids), "pid long, rid long")
-    schema = "rid long, " + ", ".join(f"{c} double" for c in _XYZ)
-    triangles = regions.mapInPandas(lambda frames: (_triangle_rows(f) for f in frames), schema)
-    cells = triangles.mapInPandas(_cells_of_triangles, "cell long, " + schema)
+    schema = "cube long, rid long, rlat double, rlon double, radius_m double, " + ", ".join(f"{c} double" for c in _XYZ)
+    triangles = materialize(regions.repartition("rid").mapInPandas(_routed_triangles, schema), "triangles")
+    level = F.shiftright("cube", 30)
+    # At most LEVELS + 1 numbers.
+    levels = sorted(r[0] for r in triangles.select(level.cast("int").alias("level")).distinct().collect())
+    if not levels:
+        return spark.createDataFrame([], "rid long, pid long")
     la, lo = F.radians("lat"), F.radians("lon")
-    p = points.select("pid", (F.floor((F.col("lat") + 90) / CELL_DEG) * 100_000 + F.floor((F.col("lon") + 180) / CELL_DEG)).alias("cell"), (F.cos(la) * F.cos(lo)).alias("px"), (F.cos(la) * F.sin(lo)).alias("py"), F.sin(la).alias("pz"))
-    c = lambda a, i: F.col(f"{a}{i}")
+    p = points.select("pid", "lat", "lon", (F.cos(la) * F.cos(lo)).alias("px"), (F.cos(la) * F.sin(lo)).alias("py"), F.sin(la).alias("pz"))
+    p = p.select("pid", "lat", "lon", F.explode(F.array(*[_cube(F.lit(n)) for n in levels])).alias("cube"))
+    used = materialize(triangles.groupBy("cube").agg(F.count("*").alias("triangles")).select("cube").coalesce(1), "cubes")
+    held = p.join(used, "cube").groupBy("cube").agg(F.count("*").alias("n"))
+    coarse = lambda shift: F.shiftright(F.shiftright("cube", shift).bitwiseAND(1023), BLOCK)
+    held = materialize(held.select("cube", "n", (((level * 1024 + coarse(20)) * 1024 + coarse(10)) * 1024 + coarse(0)).alias("block")).coalesce(1), "held")
+    parts = held.groupBy("block").agg(F.ceil(F.sum("n") / part_points).cast("int").alias("parts"))
+    parts = materialize(held.select("cube", "block").join(parts, "block").coalesce(1), "parts")
+    routed = p.join(parts, "cube").select("block", F.pmod(F.xxhash64("pid"), F.col("parts")).cast("int").alias("part"), "pid", "lat", "lon")
+    spread = triangles.join(parts, "cube").select((F.col("block") + 0).alias("block"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), *_REGION, *_XYZ)
+    return routed.groupBy("block", "part").cogroup(spread.groupBy("block", "part")).applyInPandas(lambda a, b: _test_part(a, b), "rid long, pid long")
 
-    def side(i: int, j: int) -> Column:
-        return (c("y", i) * c("z", j) - c("z", i) * c("y", j)) * F.col("px") + (c("z", i) * c("x", j) - c("x", i) * c("z", j)) * F.col("py") + (c("x", i) * c("y", j) - c("y", i) * c("x", j)) * F.col("pz")
 
-    det = (c("y", 1) * c("z", 2) - c("z", 1) * c("y", 2)) * c("x", 3) + (c("z", 1) * c("x", 2) - c("x", 1) * c("z", 2)) * c("y", 3) + (c("x", 1) * c("y", 2) - c("y", 1) * c("x", 2)) * c("z", 3)
-    sign = F.signum(det)
-    forward = (c("x", 1) + c("x", 2) + c("x", 3)) * F.col("px") + (c("y", 1) + c("y", 2) + c("y", 3)) * F.col("py") + (c("z", 1) + c("z", 2) + c("z", 3)) * F.col("pz") > 0
-    hit = (side(1, 2) * sign >= -SLACK) & (side(2, 3) * sign >= -SLACK) & (side(3, 1) * sign >= -SLACK) & forward
-    return p.join(cells, "cell").where(hit).select("pid", "rid").distinct()
+def _point_rows(points: DataFrame, point_id: str, latitude: str, longitude: str) -> DataFrame:
+    good = good_coordinates(F.col(latitude), F.col(longitude)) & F.col(point_id).isNotNull()
+    return points.where(good).select(F.col(point_id).cast("long").alias("pid"), F.col(latitude).alias("lat"), F.col(longitude).alias("lon"))
 
 
-def near_places(points: DataFrame, places: DataFrame, *, point_id: str, place_id: str, latitude: str = "latitude", longitude: str = "longitude", radius_m: str = "radius_m", max_sent: int = MAX_SENT) -> DataFrame:
+def near_places(points: DataFrame, places: DataFrame, *, point_id: str, place_id: str, latitude: str = "latitude", longitude: str = "longitude", radius_m: str = "radius_m", part_points: int = PART_POINTS) -> DataFrame:
     """(place_id, point_id) of points at most ``radius_m`` metres from a place.
 
     Candidates come from the triangles drawn around each circle; the exact
     great-circle distance decides, in the worker that holds the candidate. Ids
     are whole numbers. Points and places with null, NaN or out-of-range
     coordinates, and places with a null or negative radius, are at no place.
-    Copies of a point row give one pair. Other columns are ignored.
+    Copies of a point row give one pair, as do repeated rows of a place; rows of a
+    place that differ are all tried. Other columns are ignored.
     """
-    pts = points.where(good_coordinates(F.col(latitude), F.col(longitude)) & F.col(point_id).isNotNull()).select(F.col(point_id).cast("long").alias("pid"), F.col(latitude).alias("lat"), F.col(longitude).alias("lon"))
     ok = good_coordinates(F.col(latitude), F.col(longitude)) & (F.col(radius_m) >= 0) & ~F.isnan(radius_m) & F.col(place_id).isNotNull()
-    reg = places.where(ok).select(F.col(place_id).cast("long").alias("rid"), F.col(latitude).alias("lat"), F.col(longitude).alias("lon"), F.col(radius_m).cast("double").alias("radius_m"))
-    head = reg.limit(max_sent + 1).toPandas()
-    if len(head) <= max_sent:
-        pairs = _near_sent(pts, head)
-    else:
-        empty = reg.withColumn("lats", F.lit(None).cast("array<double>")).withColumn("lons", F.lit(None).cast("array<double>"))
-        got = candidate_pairs(pts, empty, max_sent=max_sent)
-        r = reg.select("rid", F.col("lat").alias("rlat"), F.col("lon").alias("rlon"), "radius_m")
-        got = got.join(r, "rid").join(pts, "pid")
-        pairs = got.where(distance_m(F.col("lat"), F.col("lon"), F.col("rlat"), F.col("rlon")) <= F.col("radius_m")).select("rid", "pid").distinct()
-    return pairs.select(F.col("rid").alias(place_id), F.col("pid").alias(point_id))
-
-
-def _near_sent(pts: DataFrame, places: pd.DataFrame) -> DataFrame:
-    """Hierarchy and exact distance in one pass over the points."""
-    spark = pts.sparkSession
-    if not len(places):
-        return spark.createDataFrame([], "rid long, pid long")
-    tri = [circle_triangles(*row) for row in places[["lat", "lon", "radius_m"]].itertuples(index=False)]
-    tree = Hierarchy(np.concatenate(tri), np.repeat(np.arange(len(places)), [len(t) for t in tri]))
-    rid, lat, lon, radius = (places[c].to_numpy() for c in ("rid", "lat", "lon", "radius_m"))
-
-    def run(frames):
-        for frame in frames:
-            for at in range(0, len(frame), 4096):
-                part = frame.iloc[at : at + 4096]
-                la, lo = part["lat"].to_numpy(), part["lon"].to_numpy()
-                p, k = tree.find(unit_vectors(la, lo))
-                a1, a2 = np.radians(la[p]), np.radians(lat[k])
-                h = np.sin((a2 - a1) / 2) ** 2 + np.cos(a1) * np.cos(a2) * np.sin(np.radians(lon[k] - lo[p]) / 2) ** 2
-                near = 2 * EARTH_M * np.arcsin(np.minimum(1.0, np.sqrt(h))) <= radius[k]
-                if near.any():
-                    yield pd.DataFrame({"rid": rid[k[near]], "pid": part["pid"].to_numpy()[p[near]]})
-
-    out = pts.mapInPandas(run, "rid long, pid long")
-    return out.distinct()
-
-
-def regions_of(points: DataFrame, polygons: DataFrame, *, point_id: str, region_id: str, latitude: str = "latitude", longitude: str = "longitude", lats: str = "lats", lons: str = "lons", max_sent: int = MAX_SENT) -> DataFrame:
+    circle = places.where(ok).select(F.col(place_id).cast("long").alias("place"), F.col(latitude).alias("rlat"), F.col(longitude).alias("rlon"), F.col(radius_m).cast("double").alias("radius_m")).distinct()
+    # Circles are numbered by what they are, so a place may have several.
+    circle = circle.withColumn("rid", F.xxhash64("place", "rlat", "rlon", "radius_m"))
+    none = F.lit(None).cast("array<double>")
+    found = region_pairs(_point_rows(points, point_id, latitude, longitude), circle.select("rid", "rlat", "rlon", "radius_m", none.alias("lats"), none.alias("lons")), part_points=part_points)
+    names = materialize(circle.select("rid", "place").coalesce(1), "places")
+    several = names.groupBy("place").agg(F.count("*").alias("n")).where(F.col("n") > 1).isEmpty()
+    out = found.join(names, "rid").select(F.col("place").alias(place_id), F.col("pid").alias(point_id))
+    return out if several else out.distinct()
+
+
+def regions_of(points: DataFrame, polygons: DataFrame, *, point_id: str, region_id: str, latitude: str = "latitude", longitude: str = "longitude", lats: str = "lats", lons: str = "lons", part_points: int = PART_POINTS) -> DataFrame:
     """(point_id, region_id): the polygon that holds each point; on a shared side, the smallest region id.
 
     Polygons are arrays of corner latitudes and longitudes with great-circle
-    sides; those with a null or short array hold nothing.
+    sides; those with a null or short array, a null, NaN or out-of-range corner, or
+    wider than a hemisphere hold nothing.
     """
-    pts = points.where(good_coordinates(F.col(latitude), F.col(longitude)) & F.col(point_id).isNotNull()).select(F.col(point_id).cast("long").alias("pid"), F.col(latitude).alias("lat"), F.col(longitude).alias("lon"))
-    reg = polygons.where((F.size(lats) >= 3) & (F.size(lats) == F.size(lons)) & F.col(region_id).isNotNull()).select(F.col(region_id).cast("long").alias("rid"), F.lit(None).cast("double").alias("lat"), F.lit(None).cast("double").alias("lon"), F.lit(None).cast("double").alias("radius_m"), F.col(lats).alias("lats"), F.col(lons).alias("lons"))
-    return candidate_pairs(pts, reg, max_sent=max_sent).groupBy(F.col("pid").alias(point_id)).agg(F.min("rid").alias(region_id))
+    whole = (F.size(lats) >= 3) & (F.size(lats) == F.size(lons)) & ~F.exists(lats, lambda x: x.isNull()) & ~F.exists(lons, lambda x: x.isNull())
+    no = F.lit(None).cast("double")
+    reg = polygons.where(whole & F.col(region_id).isNotNull()).select(F.col(region_id).cast("long").alias("rid"), no.alias("rlat"), no.alias("rlon"), no.alias("radius_m"), F.col(lats).cast("array<double>").alias("lats"), F.col(lons).cast("array<double>").alias("lons"))
+    found = region_pairs(_point_rows(points, point_id, latitude, longitude), reg, part_points=part_points)
+    return found.groupBy(F.col("pid").alias(point_id)).agg(F.min("rid").alias(region_id))

@@ -52,6 +52,16 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return spatial.near_places(table(spark, d, "measurements"), table(spark, d, "sites"), point_id="measurement_id", place_id="site_id")
 
 
+def p3_regions(spark: SparkSession, d: str) -> DataFrame:
+    """The tile about a site that holds each measurement: four corners a radius and a half away; of several tiles the site with the smallest id."""
+    s = table(spark, d, "sites").where(F.abs("latitude") < 89)
+    high = F.col("radius_m") * 1.5 / 111_195.0
+    wide_ = high / F.cos(F.radians("latitude"))
+    corner = lambda side, turn: F.col("latitude") + side * high if turn == "lat" else F.col("longitude") + side * wide_
+    s = s.where((F.abs(F.col("longitude")) + wide_ < 180) & (F.abs(F.col("latitude")) + high < 90)).select("site_id", F.array(*[corner(x, "lat") for x in (-1, -1, 1, 1)]).alias("lats"), F.array(*[corner(x, "lon") for x in (-1, 1, 1, -1)]).alias("lons"))
+    return spatial.regions_of(table(spark, d, "measurements"), s, point_id="measurement_id", region_id="site_id")
+
+
 def p4_wide(spark: SparkSession, d: str) -> DataFrame:
     """One row per subject with the catalogue's typed columns."""
     return wide.wide_entities(table(spark, d, "triples"), table(spark, d, "attribute_catalog"), prefixes=PREFIXES)
@@ -103,7 +113,7 @@ def p7_found(spark: SparkSession, d: str) -> DataFrame:
     return timestamps.union_all(frames)
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_grid, p2_found, p2_converted, p3_found, p4_found, p4_wide, p4_multi_values, p4_sets, p7_found, p7_instants)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_grid, p2_found, p2_converted, p3_found, p3_regions, p4_found, p4_wide, p4_multi_values, p4_sets, p7_found, p7_instants)}
 
 
 def p6_scored(spark: SparkSession, d: str) -> DataFrame:
@@ -137,6 +147,17 @@ ORACLES = {
         SELECT zone_key, CAST(minutes AS BIGINT) AS step_minutes, CAST(cell * minutes * 60 AS BIGINT) AS period_epoch
         FROM g ANTI JOIN (SELECT zone_key, minutes, cell FROM c WHERE price IS NOT NULL AND NOT isnan(price)) USING (zone_key, minutes, cell)
     """,
+    "p3_regions": """
+        WITH t AS (SELECT site_id, latitude AS la, longitude AS lo, radius_m * 1.5 / 111195.0 AS h, radius_m * 1.5 / 111195.0 / cos(radians(latitude)) AS w FROM sites WHERE abs(latitude) < 89),
+        q AS (SELECT * FROM t WHERE abs(lo) + w < 180 AND abs(la) + h < 90),
+        v AS (SELECT *, [cos(radians(a)) * cos(radians(o)), cos(radians(a)) * sin(radians(o)), sin(radians(a))] AS p FROM q, (SELECT unnest([0, 1, 2, 3]) AS k), LATERAL (SELECT la + CASE WHEN k < 2 THEN -h ELSE h END AS a, lo + CASE WHEN k IN (0, 3) THEN -w ELSE w END AS o)),
+        c AS (SELECT site_id, any_value(la) AS la, any_value(lo) AS lo, any_value(h) AS h, any_value(w) AS w, list(p ORDER BY k) AS p FROM v GROUP BY site_id),
+        n AS (SELECT *, list_transform([1, 2, 3, 4], lambda i: array_cross_product(p[i]::DOUBLE[3], p[i % 4 + 1]::DOUBLE[3])) AS sides FROM c),
+        m AS (SELECT measurement_id, latitude, longitude, [cos(radians(latitude)) * cos(radians(longitude)), cos(radians(latitude)) * sin(radians(longitude)), sin(radians(latitude))] AS x FROM measurements WHERE latitude BETWEEN -90 AND 90 AND longitude BETWEEN -180 AND 180 AND NOT isnan(latitude) AND NOT isnan(longitude))
+        SELECT measurement_id, min(site_id) AS site_id FROM m JOIN n ON m.latitude BETWEEN n.la - 2 * n.h AND n.la + 2 * n.h AND m.longitude BETWEEN n.lo - 2 * n.w AND n.lo + 2 * n.w
+        WHERE array_inner_product(sides[1]::DOUBLE[3], x::DOUBLE[3]) >= -1e-9 * sqrt(array_inner_product(sides[1]::DOUBLE[3], sides[1]::DOUBLE[3])) AND array_inner_product(sides[2]::DOUBLE[3], x::DOUBLE[3]) >= -1e-9 * sqrt(array_inner_product(sides[2]::DOUBLE[3], sides[2]::DOUBLE[3])) AND array_inner_product(sides[3]::DOUBLE[3], x::DOUBLE[3]) >= -1e-9 * sqrt(array_inner_product(sides[3]::DOUBLE[3], sides[3]::DOUBLE[3])) AND array_inner_product(sides[4]::DOUBLE[3], x::DOUBLE[3]) >= -1e-9 * sqrt(array_inner_product(sides[4]::DOUBLE[3], sides[4]::DOUBLE[3]))
+        GROUP BY 1
+    """,
     "p4_found": rf"""
         WITH {_CATALOGUED},
         n AS (SELECT *, CASE WHEN len(regexp_extract_all(bare, '[0-9]+(?:[.,][0-9]+)*(?:[eE][0-9]+)?')) = 1 AND NOT regexp_matches(bare, '[0-9] *[?]|[.,][.,]|[0-9] *[-/] *[0-9]') THEN (CASE WHEN regexp_matches(bare, '^[-−]') THEN '-' ELSE '' END) || regexp_extract(bare, '[0-9]+(?:[.,][0-9]+)*(?:[eE][0-9]+)?') END AS one FROM o WHERE NOT multi_valued),

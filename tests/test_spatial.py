@@ -37,14 +37,12 @@ def cases():
     return points, sites
 
 
-@pytest.mark.parametrize("max_sent", [100_000, 0])
-def test_both_ways_against_brute_force(spark, max_sent):
+@pytest.mark.parametrize("part_points", [100_000, 25])
+def test_against_brute_force(spark, part_points):
     points, sites = cases()
-    p = spark.createDataFrame(points + points[:5], P).withColumn("rid", F.lit("clash"))
-    if max_sent == 0:
-        sites = sites[:6] + sites[7:]  # a circle of nine thousand kilometres meets very many small cells
+    p = spark.createDataFrame(points + points[:5], P).withColumn("rid", F.lit("clash")).withColumn("cube", F.lit("clash"))
     s = spark.createDataFrame(sites + [(70, None, 0.0, 1.0), (71, 0.0, 0.0, None), (72, 0.0, 0.0, -1.0)], S)
-    out = spatial.near_places(p, s, point_id="measurement_id", place_id="site_id", max_sent=max_sent)
+    out = spatial.near_places(p, s, point_id="measurement_id", place_id="site_id", part_points=part_points)
     found = [tuple(r) for r in out.collect()]
     assert len(found) == len(set(found)) and set(found) == brute(points, sites)
 
@@ -69,9 +67,24 @@ def test_ear_clipping_keeps_the_area():
     assert spatial.ear_clip(np.array([[0, 0], [1, 1], [1, 1]])) == []
 
 
-@pytest.mark.parametrize("max_sent", [100, 0])
-def test_polygons_with_a_shared_side(spark, max_sent):
-    polygons = spark.createDataFrame([(1, [0.0, 0.0, 1.0, 1.0], [179.5, 180.0, 180.0, 179.5]), (2, [0.0, 0.0, 1.0, 1.0], [-180.0, -179.5, -179.5, -180.0]), (3, [5.0, 5.0], [1.0, 2.0]), (4, None, None)], "region long, lats array<double>, lons array<double>")
+@pytest.mark.parametrize("part_points", [100, 1])
+def test_polygons_with_a_shared_side(spark, part_points):
+    polygons = spark.createDataFrame([(1, [0.0, 0.0, 1.0, 1.0], [179.5, 180.0, 180.0, 179.5]), (2, [0.0, 0.0, 1.0, 1.0], [-180.0, -179.5, -179.5, -180.0]), (3, [5.0, 5.0], [1.0, 2.0]), (4, None, None), (5, [0.0, 0.0, 0.0, 1.0], [0.0, 120.0, -120.0, 0.0]), (6, [0.0, None, 1.0], [0.0, 1.0, 2.0]), (7, [0.0, float("nan"), 1.0], [0.0, 1.0, 2.0])], "region long, lats array<double>, lons array<double>")
     points = spark.createDataFrame([(1, 0.5, 179.7), (2, 0.5, -179.7), (3, 0.5, 180.0), (4, 0.5, -180.0), (5, 3.0, 180.0), (6, None, 1.0)], P)
-    out = {r.measurement_id: r.region for r in spatial.regions_of(points, polygons, point_id="measurement_id", region_id="region", max_sent=max_sent).collect()}
+    out = {r.measurement_id: r.region for r in spatial.regions_of(points, polygons, point_id="measurement_id", region_id="region", part_points=part_points).collect()}
     assert out == {1: 1, 2: 2, 3: 1, 4: 1}
+
+
+def test_very_many_places_take_the_same_plan(spark):
+    # A hundred thousand and one places: a grid of small circles, points on every tenth.
+    n = 100_001
+    places = spark.range(n).select(F.col("id").alias("site_id"), (F.floor(F.col("id") / 500) * 0.5 - 60).alias("latitude"), ((F.col("id") % 500) * 0.7 - 175).alias("longitude"), F.lit(900.0).alias("radius_m"))
+    points = places.where(F.col("site_id") % 10 == 0).select(F.col("site_id").alias("measurement_id"), (F.col("latitude") + 0.004).alias("latitude"), "longitude")
+    out = spatial.near_places(points, places, point_id="measurement_id", place_id="site_id")
+    assert out.where(F.col("site_id") == F.col("measurement_id")).count() == out.count() == 10_001
+
+
+def test_a_place_of_several_circles(spark):
+    p = spark.createDataFrame([(1, 40.0, -3.0), (2, 10.0, 10.0), (3, 40.001, -3.0)], P)
+    s = spark.createDataFrame([(5, 40.0, -3.0, 500.0), (5, 40.0, -3.0, 500.0), (5, 10.0, 10.0, 9.0), (5, 40.001, -3.0, 500.0)], S)
+    assert sorted(tuple(r) for r in spatial.near_places(p, s, point_id="measurement_id", place_id="site_id").collect()) == [(5, 1), (5, 2), (5, 3)]
