@@ -106,14 +106,22 @@ def _instant(p: Column) -> Column:
     return let(local, as_struct)
 
 
-def offset_intervals(spark: SparkSession, zones: list[str], first_year: int = 1970, last_year: int = 2100) -> DataFrame:
-    """Offset intervals of IANA zones in local time, exploded by month.
+#: Years between which zone changes are worked out one by one; before the first there was no standard time, and rules repeat beyond.
+FIRST_YEAR, LAST_YEAR = 1850, 2400
+
+
+def offset_intervals(spark: SparkSession, zones: list[str], first_year: int = 1970, last_year: int = 2100, *, utc: bool = False) -> DataFrame:
+    """Offset intervals of IANA zones in local time (with ``utc`` in UTC), exploded by month.
 
     Columns: zone, month (``yyyyMM``), local_from, local_to (microseconds of the
-    wall clock), offset_s. Unknown zone names are left out. Bounded: there are
-    some 600 zone names, and a zone has at most a few changes a year.
+    wall clock), offset_s. The years are those that the texts tell (``years_of``); a
+    zone's first offset holds before them and its last after them, as intervals
+    open at that end under the months ``before`` and ``after``. Unknown zone names
+    are left out. Bounded: there are some 600 zone names, and a zone has at most
+    a few changes a year.
     """
-    rows = []
+    first_year, last_year = max(first_year, FIRST_YEAR), min(last_year, LAST_YEAR)
+    rows, ends = [], []
     for name in zones:
         try:
             zone = zoneinfo.ZoneInfo(name)
@@ -121,8 +129,10 @@ def offset_intervals(spark: SparkSession, zones: list[str], first_year: int = 19
             continue
         at = lambda s, z=zone: int((dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc) + dt.timedelta(seconds=s)).astimezone(z).utcoffset().total_seconds())
         second = lambda year: int((dt.datetime(year, 1, 1) - dt.datetime(1970, 1, 1)).total_seconds())
-        start, end, week = second(first_year), second(last_year), 7 * 86400
+        # A day more at both ends, so that every local time of the years lies inside.
+        start, end, week = second(first_year) - 86400, second(last_year + 1) + 86400, 7 * 86400
         begun, offset = start, at(start)
+        ends.append((name, "before", offset))
         for s in range(start, end, week):
             low, high = s, min(s + week, end)
             while at(high) != at(low):  # every change of the week, first to last
@@ -130,14 +140,54 @@ def offset_intervals(spark: SparkSession, zones: list[str], first_year: int = 19
                 while b - a > 1:
                     mid = (a + b) // 2
                     a, b = (mid, b) if at(mid) == at(low) else (a, mid)
-                rows.append((name, begun + offset, b + offset, offset))
+                shift = 0 if utc else offset
+                rows.append((name, begun + shift, b + shift, offset))
                 begun, offset, low = b, at(b), b
-        rows.append((name, begun + offset, end + offset, offset))
+        shift = 0 if utc else offset
+        rows.append((name, begun + shift, end + shift, offset))
+        ends.append((name, "after", offset))
     base = spark.createDataFrame(rows, "zone string, from_s long, to_s long, offset_s long")
     month_of = lambda c: F.trunc(F.timestamp_seconds(c), "month")
     months = F.sequence(month_of(F.col("from_s")), month_of(F.col("to_s") - 1), F.expr("interval 1 month"))
-    base = base.select("*", F.explode(months).alias("month"))
-    return base.select("zone", F.date_format("month", "yyyyMM").alias("month"), (F.col("from_s") * 1_000_000).alias("local_from"), (F.col("to_s") * 1_000_000).alias("local_to"), "offset_s")
+    base = base.select("*", F.explode(months).alias("month")).where(F.year("month").between(first_year, last_year))
+    inside = base.select("zone", F.date_format("month", "yyyyMM").alias("month"), (F.col("from_s") * 1_000_000).alias("local_from"), (F.col("to_s") * 1_000_000).alias("local_to"), "offset_s")
+    beyond = spark.createDataFrame(ends, "zone string, month string, offset_s long").select("zone", "month", F.lit(-(2**63)).cast("long").alias("local_from"), F.lit(2**63 - 1).alias("local_to"), "offset_s")
+    return inside.unionByName(beyond)
+
+
+def years_of(df: DataFrame, text: str) -> tuple[int, int]:
+    """Least and greatest year that timestamp texts tell (1970 and 2100 if none does): one aggregate without a shuffle of rows."""
+    local = parsed(F.col(text))["local"]
+    low, high = df.select(F.year(local).alias("y")).agg(F.min("y"), F.max("y")).first()
+    return (1970, 2100) if low is None else (low, high)
+
+
+def _spans(intervals: DataFrame) -> DataFrame:
+    """One row per (zone, month) that lists its two or three intervals: a join with it adds no rows. Written down, its size is known to Catalyst."""
+    listed = F.collect_list(F.struct("local_from", "local_to", "offset_s")).alias("_spans")
+    return materialize(intervals.groupBy(F.col("zone").alias("_zone"), F.col("month").alias("_month")).agg(listed).coalesce(1), "offsets")
+
+
+def _month_key(spans: DataFrame, at: Column) -> Column:
+    """The month under which the intervals of a time are listed."""
+    low, high = spans.where(~F.col("_month").isin("before", "after")).agg(F.min("_month"), F.max("_month")).first()
+    number, month = F.year(at) * 100 + F.month(at), F.date_format(at, "yyyyMM")
+    return month if low is None else F.when(number < int(low), "before").when(number > int(high), "after").otherwise(month)
+
+
+def to_dates(df: DataFrame, *, text: str, zone: str, intervals: DataFrame) -> DataFrame:
+    """``df`` with ``date``: the calendar date of a timestamp text as written, or in ``zone`` where an instant is given; null if invalid.
+
+    ``intervals``: those of the zone in UTC. An instant meets the one interval
+    that holds it, which gives its offset.
+    """
+    rows = df.withColumn("_parsed", parsed(F.col(text)))
+    spans = _spans(intervals.where(F.col("zone") == zone)).drop("_zone")
+    instant = F.col("_parsed.instant_us")
+    out = rows.withColumn("_month", _month_key(spans, F.timestamp_micros(instant))).join(spans, "_month", "left")
+    hits = F.filter("_spans", lambda s: (s["local_from"] <= instant) & (instant < s["local_to"]))
+    there = F.to_date(F.timestamp_micros(instant + hits[0]["offset_s"] * 1_000_000))
+    return out.withColumn("date", F.when(instant.isNotNull(), F.when(F.size(hits) == 1, there)).otherwise(F.to_date(F.col("_parsed.local")))).select(*[c for c in df.columns if c != "date"], "date")
 
 
 def to_instants(df: DataFrame, *, text: str, zone: str, intervals: DataFrame) -> DataFrame:
@@ -151,9 +201,9 @@ def to_instants(df: DataFrame, *, text: str, zone: str, intervals: DataFrame) ->
     p = F.col("_parsed")
     rows = df.withColumn("_parsed", parsed(F.col(text)))
     local_us = F.unix_micros(p["local"].cast("timestamp"))
-    rows = rows.withColumn("_local_us", F.when(p["instant_us"].isNull(), local_us)).withColumn("_month", F.date_format(p["local"], "yyyyMM"))
-    # One row per (zone, month) that lists its two or three intervals: the join adds no rows. Written down, its size is known to Catalyst.
-    spans = materialize(intervals.groupBy(F.col("zone").alias("_zone"), F.col("month").alias("_month")).agg(F.collect_list(F.struct("local_from", "local_to", "offset_s")).alias("_spans")).coalesce(1), "offsets")
+    rows = rows.withColumn("_local_us", F.when(p["instant_us"].isNull(), local_us))
+    spans = _spans(intervals)
+    rows = rows.withColumn("_month", _month_key(spans, p["local"]))
     out = rows.join(spans, (F.col(zone) == F.col("_zone")) & (rows["_month"] == spans["_month"]), "left").drop("_zone", spans["_month"]).drop("_month")
     hits = F.filter("_spans", lambda s: (s["local_from"] <= F.col("_local_us")) & (F.col("_local_us") < s["local_to"]))
     status = F.when(F.col(text).isNull(), "null").when(p.isNull(), "invalid").when(p["instant_us"].isNotNull(), "instant").when(F.col("_spans").isNull(), "unknown_zone").when(F.size(hits) == 1, "resolved").when(F.size(hits) == 0, "nonexistent").otherwise("ambiguous")

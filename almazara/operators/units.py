@@ -36,9 +36,6 @@ PREFIX_COST = {"n": -0.1, "u": -0.1, "m": -0.2, "k": -2.0, "c": -4.0}
 #: Size of one unit of each code in base units (sieverts or roentgens an hour, counts a minute).
 CODES = {"cpm": ("count", 60, 1.0), "cps": ("count", 1, 1.0), "usvh": ("dose", 3600, 1e-6), "nsvh": ("dose", 3600, 1e-9), "msvh": ("dose", 3600, 1e-3), "urh": ("exposure", 3600, 1e-6), "mrh": ("exposure", 3600, 1e-3)}
 
-#: Characters of the longest unit text; longer ones tell no unit.
-LONGEST = 60
-
 _SUPERSCRIPT = str.maketrans("⁻⁺⁰¹²³⁴⁵⁶⁷⁸⁹", "-+0123456789")
 _NUMBER = re.compile(r"(?:10\^[+-]?\d+|\d+(?:[.,]\d+)?(?:e[+-]?\d+)?)")
 
@@ -74,6 +71,10 @@ class Trie:
 
 _TRIES = {"prefix": Trie(PREFIXES), "root": Trie(ROOTS), "time": Trie(TIMES), "per": Trie(PER), "inverse": Trie(INVERSE), "gap": Trie(GAPS)}
 
+#: Characters of the longest run that the grammar can make without a number: one word of each part, and three gaps between any two.
+LONGEST_RUN = sum(max(map(len, part)) for part in (PREFIXES, ROOTS, PER, TIMES, INVERSE)) + 4 * 3
+_GAPS = re.compile(r"[ ·*.]{4,}")
+
 #: Which part may follow which; a text must end after a part of ENDS.
 NEXT = {"start": ("number", "prefix", "root"), "number": ("gap", "prefix", "root"), "prefix": ("root", "gap0"), "root": ("per", "gap", "time", "inverse0"), "gap": ("prefix", "root", "time", "per", "gap"), "per": ("time", "gap2"), "gap2": ("time",), "time": ("inverse", "gap3"), "inverse": (), "gap3": ()}
 ENDS = ("root", "time", "inverse", "gap3")
@@ -105,8 +106,8 @@ def segment(text: str) -> list[tuple[float, str, int, float]]:
         options = NEXT[last]
         if "number" in options and (m := _NUMBER.match(text, i)):
             raw = m.group().replace(",", ".")
-            factor = 10.0 ** float(raw[3:]) if raw.startswith("10^") else float(raw)
-            if factor > 0:
+            factor = float(f"1e{raw[3:]}" if raw.startswith("10^") else raw)
+            if 0 < factor < math.inf:
                 for (d, s, z), sc in tails(m.end(), "number", root, seconds, inverse, False):
                     keep(sc, d, s, z * factor)
         if "prefix" in options and not root:
@@ -149,8 +150,9 @@ def code_of(text: str | None) -> tuple[str, float] | None:
     if not text:
         return None
     t = fold(text)
-    if not t or len(t) > LONGEST:
+    if not t:
         return None
+    t = _GAPS.sub(lambda m: m.group()[:3], t)
     dotted = re.sub(r"(?<=[a-z])\.(?=[a-z]|$)", "", t)  # c.p.m.
     for form in dict.fromkeys((t, dotted)):
         for _, dim, seconds, size in segment(form):
@@ -184,12 +186,14 @@ def code_in(text: str | None) -> tuple[str, float] | None:
         before = t[max(0, words[a].start() - 2) : words[a].start()].rstrip()
         if before and (before[-1].isdigit() or before[-1] in "/^"):
             continue
-        for b in range(min(len(words), a + 8), a, -1):
+        # No reading is longer than the grammar allows.
+        last = a + 1
+        while last < len(words) and words[last].end() - words[a].start() <= LONGEST_RUN:
+            last += 1
+        for b in range(last, a, -1):
             run = t[words[a].start() : words[b - 1].end()]
             if best and len(run) <= best[0]:
                 break
-            if len(run) > LONGEST:
-                continue
             if not re.search(r"/|\bper\b|\bpor\b|cpm|cps|sv|h", run) or len(run) < 3:
                 continue
             readings = segment(run)
@@ -238,7 +242,7 @@ def with_source_unit(df: DataFrame, *, unit: str, texts: list[str], exact_codes:
 
     ``unit`` is used before ``texts``, in their order; an exact code is taken by
     a JVM expression, everything else by the segmentation. Null, blank, unknown
-    and very long unit texts tell nothing; the three columns are then null.
+    unit texts tell nothing; the three columns are then null.
     """
     exact = F.col(unit).isin(*(exact_codes or list(CODES)))
     plain = F.when(exact, F.struct(F.col(unit).alias("unit_code"), F.lit(1.0).alias("scale"), F.lit(unit).alias("told_by")))

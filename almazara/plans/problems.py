@@ -85,6 +85,8 @@ def p4_sets(spark: SparkSession, d: str) -> DataFrame:
     return sets.select(F.concat_ws(" ", "signature").alias("signature"), "subjects")
 
 
+#: The zone of session dates.
+MADRID = "Europe/Madrid"
 #: The form of dates that needs no normalising.
 USUAL_DATE = r"^\d{2}/\d{2}/\d{4}$"
 USUAL_INSTANT = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}\.\d{6}Z$"
@@ -94,7 +96,7 @@ def _instants(spark: SparkSession, d: str) -> DataFrame:
     devices = table(spark, d, "devices").select(F.col("device_id").alias("_id"), "time_zone")
     raw = table(spark, d, "raw_captures").select("raw_id", "device_id", "captured_at")
     rows = raw.join(devices, F.col("device_id") == F.col("_id"), "left").drop("_id")
-    return timestamps.to_instants(rows, text="captured_at", zone="time_zone", intervals=timestamps.offset_intervals(spark, timestamps.zones_of(devices, "time_zone")))
+    return timestamps.to_instants(rows, text="captured_at", zone="time_zone", intervals=timestamps.offset_intervals(spark, timestamps.zones_of(devices, "time_zone"), *timestamps.years_of(raw, "captured_at")))
 
 
 def p7_instants(spark: SparkSession, d: str) -> DataFrame:
@@ -107,8 +109,9 @@ def p7_found(spark: SparkSession, d: str) -> DataFrame:
     raw = _instants(spark, d).where(F.col("instant_us").isNotNull() & ~F.col("captured_at").rlike(USUAL_INSTANT))
     frames = [raw.select(F.lit("raw_captures").alias("source_table"), F.col("raw_id").alias("row_id"), timestamps.utc_text(F.col("instant_us")).alias("normal_form"))]
     for name, row, text in (("intervenciones", "intervention_id", "sesion_date"), ("deputy_votes", "vote_row_id", "date")):
-        t = table(spark, d, name).where(F.col(text).isNotNull() & ~F.col(text).rlike(USUAL_DATE))
-        t = t.select(F.lit(name).alias("source_table"), F.col(row).alias("row_id"), timestamps.calendar_date(F.col(text)).cast("string").alias("normal_form"))
+        t = table(spark, d, name).where(F.col(text).isNotNull() & ~F.col(text).rlike(USUAL_DATE)).select(F.lit(name).alias("source_table"), F.col(row).alias("row_id"), F.col(text).alias("text"))
+        t = timestamps.to_dates(t, text="text", zone=MADRID, intervals=timestamps.offset_intervals(spark, [MADRID], *timestamps.years_of(t, "text"), utc=True))
+        t = t.select("source_table", "row_id", F.col("date").cast("string").alias("normal_form"))
         frames.append(t.where(F.col("normal_form").isNotNull()))
     return timestamps.union_all(frames)
 

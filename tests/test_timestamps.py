@@ -43,5 +43,26 @@ def test_local_times_against_the_zone_rules(spark):
 
 def test_calendar_dates(spark):
     cases = {"20/05/2026": "2026-05-20", "12.05.26": "2026-05-12", "2026-05-08T22:00:00Z": "2026-05-09", "2026-04-13 00:00:00": "2026-04-13", "20260422": "2026-04-22", "15 de abril de 2026": "2026-04-15", "miércoles, 13 de mayo de 2026": "2026-05-13", "1775858400000": "2026-04-11", "2026-04-10T00:00:00+02:00": "2026-04-10", "03-05-2026": "2026-05-03", "7/4/26": "2026-04-07", "10-ABR-2026": "2026-04-10", "08-MAY-2026": "2026-05-08", "pendiente": None, "": None, "31.02.26": None, "sin fecha": None}
-    df = spark.createDataFrame([(t,) for t in cases], "t string").select("t", timestamps.calendar_date(F.col("t")).cast("string").alias("d"))
-    assert {r.t: r.d for r in df.collect()} == cases
+    df = spark.createDataFrame([(t,) for t in cases], "t string")
+    assert {r.t: r.d for r in df.select("t", timestamps.calendar_date(F.col("t")).cast("string").alias("d")).collect()} == cases
+    clash = df.withColumn("date", F.lit(1)).withColumn("_month", F.lit("x")).drop("_month")
+    out = timestamps.to_dates(clash, text="t", zone=M, intervals=timestamps.offset_intervals(spark, [M, "Asia/Tokyo"], *timestamps.years_of(df, "t"), utc=True))
+    assert {r.t: r.date and r.date.isoformat() for r in out.collect()} == cases
+    # Without the intervals no instant has a date: they decide.
+    none = timestamps.to_dates(df, text="t", zone=M, intervals=timestamps.offset_intervals(spark, ["Asia/Tokyo"], utc=True))
+    assert {r.t for r in none.collect() if r.date is None and cases[r.t]} == {"2026-05-08T22:00:00Z", "1775858400000", "2026-04-10T00:00:00+02:00"}
+
+
+def test_years_are_those_of_the_texts(spark):
+    times = ["1960-07-01 12:00:00", "1901-03-04 05:06:07", "1700-01-01 00:00:00", "2150-07-01 12:00:00", "2999-07-01 12:00:00", "0099-01-01 10:00:00", "9999-12-31 23:59:59"]
+    df = spark.createDataFrame([(t, M) for t in times], "t string, z string")
+    assert timestamps.years_of(df, "t") == (99, 9999) and timestamps.years_of(df.limit(0), "t") == (1970, 2100)
+    out = timestamps.to_instants(df, text="t", zone="z", intervals=timestamps.offset_intervals(spark, [M], *timestamps.years_of(df, "t"))).collect()
+    zone = zoneinfo.ZoneInfo(M)
+    for r in out:
+        t = dt.datetime.strptime(r.t, "%Y-%m-%d %H:%M:%S")
+        if 1850 < t.year < 2400:
+            want = t.replace(tzinfo=zone).astimezone(dt.timezone.utc)
+            assert r.time_status == "resolved" and r.instant_us == (want - dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc)) // dt.timedelta(microseconds=1)
+        else:
+            assert r.time_status == "resolved" and r.instant_us is not None
