@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from almazara.files import opened, size_of
 
 #: Bytes of lines in one Arrow batch.
 BATCH_BYTES = 1 << 20
@@ -28,19 +29,19 @@ def open_members(path: str, suffix: str = "") -> Iterator[tuple[str, io.Buffered
     """(member name, byte stream) of the members of an archive whose name ends in ``suffix``."""
     low = path.lower()
     if low.endswith(".zip"):
-        with zipfile.ZipFile(path) as archive:
+        with opened(path) as file, zipfile.ZipFile(file) as archive:
             for info in archive.infolist():
                 if not info.is_dir() and info.filename.lower().endswith(suffix.lower()):
                     with archive.open(info) as stream:
                         yield info.filename, stream
     elif low.endswith((".tar", ".tar.gz", ".tgz", ".tar.bz2")):
-        with tarfile.open(path, "r|*") as archive:
+        with opened(path) as file, tarfile.open(fileobj=file, mode="r|*") as archive:
             for info in archive:
                 if info.isfile() and info.name.lower().endswith(suffix.lower()):
                     yield info.name, archive.extractfile(info)
     else:
-        opener = gzip.open if low.endswith(".gz") else bz2.open if low.endswith(".bz2") else open
-        with opener(path, "rb") as stream:
+        unpacked = gzip.open if low.endswith(".gz") else bz2.open if low.endswith(".bz2") else lambda file, _: file
+        with opened(path) as file, unpacked(file, "rb") as stream:
             yield path.rsplit("/", 1)[-1], stream
 
 
@@ -113,20 +114,20 @@ def member_texts(spark: SparkSession, paths: list[str], *, suffix: str = "", enc
 def is_sound_archive(path: str, size: int | None = None, md5: str | None = None) -> bool:
     """Whether an archive has its size and MD5 and its members read back whole. DQ-12."""
     import hashlib
-    import os
 
-    if not os.path.exists(path) or (size is not None and os.path.getsize(path) != size):
+    found = size_of(path)
+    if found is None or (size is not None and found != size):
         return False
     if md5 is not None:
         digest = hashlib.md5()
-        with open(path, "rb") as f:
+        with opened(path) as f:
             for block in iter(lambda: f.read(1 << 20), b""):
                 digest.update(block)
         if digest.hexdigest() != md5.lower():
             return False
     if path.lower().endswith(".zip"):
         try:
-            with zipfile.ZipFile(path) as archive:
+            with opened(path) as file, zipfile.ZipFile(file) as archive:
                 return archive.testzip() is None and bool(archive.namelist())
         except zipfile.BadZipFile:
             return False

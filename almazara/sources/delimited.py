@@ -91,7 +91,11 @@ def with_country(df: DataFrame) -> DataFrame:
 def read_earthquake_csv(spark: SparkSession, path: str) -> DataFrame:
     """Earthquakes of a semicolon file with a header; a row of fewer than ten fields stops the job. SRC-06."""
     lines = archive_lines(spark, [path], errors="replace")
-    rows = lines.where((F.col("line_number") > 1) & (F.trim("value") != "")).select(F.split("value", ";", -1).alias("f"), "line_number")
+    quoted = F.from_csv("value", ", ".join(f"f{i} string" for i in range(10)), {"sep": ";", "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "false", "emptyValue": ""})
+    # Separators inside quotes are text; most lines have no quotes and are merely split.
+    outside = F.size(F.split(F.regexp_replace("value", '"[^"]*"', ""), ";", -1))
+    fields = F.when(~F.col("value").contains('"'), F.split("value", ";", -1)).when(outside >= 10, F.array(*[F.coalesce(quoted[f"f{i}"], F.lit("")) for i in range(10)])).otherwise(F.array())
+    rows = lines.where((F.col("line_number") > 1) & (F.trim("value") != "")).select(fields.alias("f"), "line_number")
     sound = F.when(F.size("f") >= 10, F.col("f")).otherwise(F.raise_error(F.concat(F.lit("too few fields in line "), F.col("line_number").cast("string"))))
     return with_country(rows.select(sound.alias("f")).select(*earthquake_rows(F.col("f"), CSV_PLACES, "csv")))
 

@@ -12,6 +12,7 @@ import struct
 import zlib
 from collections.abc import Iterator
 
+from almazara.files import opened
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
@@ -82,7 +83,7 @@ def _int64(n: int) -> int:
 def block_offsets(path: str) -> list[tuple[int, int]]:
     """(offset, size) of every data block of a file, from the blocks' headers alone."""
     out = []
-    with open(path, "rb") as f:
+    with opened(path) as f:
         while head := f.read(4):
             header = dict(fields(f.read(struct.unpack(">I", head)[0])))
             size = int(header[3])
@@ -177,7 +178,7 @@ class _Reader(DataSourceReader):
         path, blocks = partition.value
         if not blocks:
             return
-        with open(path, "rb") as f:
+        with opened(path) as f:
             for offset, size in blocks:
                 f.seek(offset)
                 yield from elements(f.read(size))

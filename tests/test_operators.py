@@ -89,10 +89,10 @@ def test_sinks(spark, tmp_path):
     assert '"x": null' in (tmp_path / "j" / "a.json").read_text()
     files = sinks.checksum_manifest(spark.read.format("binaryFile").load(str(tmp_path / "j"))).collect()
     assert len(files) == 1 and len(files[0].sha256) == 64
-    listed = sinks.stage(str(tmp_path / "s"), str(tmp_path / "j"), str(tmp_path / "out"), quality.checks(df, {"ok": F.lit(False)}), "# card")
+    listed = sinks.stage(spark, str(tmp_path / "s"), str(tmp_path / "j"), str(tmp_path / "out"), quality.checks(df, {"ok": F.lit(False)}), "# card")
     assert any(f["path"].endswith("a.json") for f in listed) and (tmp_path / "out" / "UPLOAD_MANIFEST.json").exists()
     with pytest.raises(ValueError):
-        sinks.stage(str(tmp_path / "s"), str(tmp_path / "j"), str(tmp_path / "out2"), quality.checks(df, {"bad": F.lit(True)}))
+        sinks.stage(spark, str(tmp_path / "s"), str(tmp_path / "j"), str(tmp_path / "out2"), quality.checks(df, {"bad": F.lit(True)}))
 
 
 def test_schemas(spark):
