@@ -18,16 +18,22 @@ QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
 
 
-def query(sql: str | None = None):
-    """Register a query, and its SQL where SQL can say it."""
+def registrar(queries: dict, oracles: dict):
+    """A decorator that registers a query, and its SQL where SQL can say it."""
 
-    def register(f):
-        QUERIES[f.__name__] = f
-        if sql is not None:
-            ORACLES[f.__name__] = sql
-        return f
+    def query(sql: str | None = None):
+        def register(f):
+            queries[f.__name__] = f
+            if sql is not None:
+                oracles[f.__name__] = sql
+            return f
 
-    return register
+        return register
+
+    return query
+
+
+query = registrar(QUERIES, ORACLES)
 
 
 ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"]
@@ -342,12 +348,12 @@ def so04_tagged_union(spark: SparkSession, d: str) -> DataFrame:
     return relational.tagged_union({"customer": table(spark, d, "customer").select(F.col("c_custkey").alias("k"), F.col("c_acctbal").alias("balance")), "supplier": table(spark, d, "supplier").select(F.col("s_suppkey").alias("k"), F.col("s_acctbal").alias("balance")), "part": table(spark, d, "part").select(F.col("p_partkey").alias("k"), F.col("p_size").alias("size"))}).select("k", "balance", "size", "source_format")
 
 
-@query("SELECT record_id, epoch_us(timestamp_utc) AS at_us, price FROM day_ahead_prices WHERE timestamp_utc >= TIMESTAMPTZ '2026-05-30 00:00:00+00' AND timestamp_utc < TIMESTAMPTZ '2026-06-01 00:00:00+00'")
+@query("SELECT record_id, epoch_us(timestamp_utc) AS at_us, CASE WHEN isnan(price) THEN NULL ELSE price END AS price FROM day_ahead_prices WHERE timestamp_utc >= TIMESTAMPTZ '2026-05-30 00:00:00+00' AND timestamp_utc < TIMESTAMPTZ '2026-06-01 00:00:00+00'")
 def flt01_interval(spark: SparkSession, d: str) -> DataFrame:
-    """Prices of a half-open interval, pushed to the scan."""
+    """Prices of a half-open interval, pushed to the scan; no number is null."""
     t = F.col("timestamp_utc")
     inside = (t >= F.lit("2026-05-30T00:00:00Z").cast("timestamp")) & (t < F.lit("2026-06-01T00:00:00Z").cast("timestamp"))
-    return table(spark, d, "day_ahead_prices").where(inside).select("record_id", F.unix_micros("timestamp_utc").alias("at_us"), "price")
+    return table(spark, d, "day_ahead_prices").where(inside).select("record_id", F.unix_micros("timestamp_utc").alias("at_us"), F.when(~F.isnan("price"), F.col("price")).alias("price"))
 
 
 @query("SELECT record_id FROM day_ahead_prices WHERE coalesce(contract_type, 'A01') = 'A01'")
@@ -369,13 +375,13 @@ def flt08_equality(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events WHERE props IS NOT NULL")
-def ns01_json_field(spark: SparkSession, d: str) -> DataFrame:
+def prj06_json_field(spark: SparkSession, d: str) -> DataFrame:
     """Field of JSON properties."""
     return table(spark, d, "events").where(F.col("props").isNotNull()).select("event_id", F.from_json("props", "k bigint")["k"].alias("k"))
 
 
 @query("SELECT o_orderkey, CAST(d AS DATE) AS day FROM (SELECT o_orderkey, unnest(generate_series(date_trunc('month', o_orderdate), last_day(o_orderdate), INTERVAL 1 DAY)) AS d FROM orders)")
-def ns11_days_of_month(spark: SparkSession, d: str) -> DataFrame:
+def fn13_days_of_month(spark: SparkSession, d: str) -> DataFrame:
     """One row per day of the order's month."""
     t = table(spark, d, "orders")
     month = F.trunc("o_orderdate", "month")
