@@ -6,11 +6,12 @@ application's scratch folder. Every query takes its whole tables.
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from almazara import files, sinks
-from almazara.functions import numbers, temporal, text
+from almazara.functions import geo, numbers, temporal, text
 from almazara.operators import planning, profile, quality, relational
 from almazara.plans.reference import registrar
 from almazara.runtime import materialize, scratch_path, table
@@ -271,7 +272,7 @@ def ns06_market_documents(spark: SparkSession, d: str) -> DataFrame:
     """Market documents: three levels exploded with inherited fields, other contracts and empty points left out (SRC-17, FLT-02, FN-14 to FN-16)."""
     p = table(spark, d, "day_ahead_prices").where(F.expr(_PRICED))
     tag = lambda n, v: F.concat(F.lit(f"<{n}>"), v if isinstance(v, Column) else F.lit(v), F.lit(f"</{n}>"))
-    series = lambda contract, points: tag("TimeSeries", F.concat(tag("mRID", "1"), tag("businessType", "A62"), tag("contract_MarketAgreement.type", contract), tag("currency_Unit.name", "EUR"), tag("Period", F.concat(tag("timeInterval", tag("start", F.date_format("timestamp_utc", "yyyy-MM-dd'T'HH:mm'Z'"))), tag("resolution", F.col("resolution")), points))))
+    series = lambda contract, points: tag("TimeSeries", F.concat(tag("mRID", "1"), tag("businessType", "A62"), tag("contract_MarketAgreement.type", contract), tag("currency_Unit.name", "EUR"), tag("Period", F.concat(tag("timeInterval", tag("start", F.date_format("timestamp_utc", "yyyy-MM-dd'T'HH:mm:ss'Z'"))), tag("resolution", F.col("resolution")), points))))
     point = lambda n, v: tag("Point", F.concat(tag("position", n), tag("price.amount", v)))
     text_ = tag("Publication_MarketDocument", F.concat(tag("mRID", "d"), tag("revisionNumber", "1"), series("A01", F.concat(point("1", F.col("price").cast("string")), tag("Point", tag("position", "2")))), series("A07", point("1", "5"))))
     docs = p.select(text_.alias("text"), "zone_key", F.lit("f.xml").alias("source_file"))
@@ -432,3 +433,212 @@ def snk12_staged(spark: SparkSession, d: str) -> DataFrame:
         failing = "refused"
     whole = {x["path"] for x in listed} >= {"README.md"} and any(x["path"].startswith("data/") for x in listed)
     return spark.read.parquet(f"{path}/out/data").select("r_name", F.lit(whole).alias("listed"), F.lit(failing).alias("failing"))
+
+
+@query("SELECT vote_row_id, trim(title) AS title FROM deputy_votes WHERE title IS NOT NULL")
+def fn02_mojibake(spark: SparkSession, d: str) -> DataFrame:
+    """Titles read once as Latin-1, as they were meant."""
+    broken = F.decode(F.encode("title", "UTF-8"), "ISO-8859-1")
+    return table(spark, d, "deputy_votes").where(F.col("title").isNotNull()).select("vote_row_id", text.repair_mojibake(broken).alias("title"))
+
+
+@query("SELECT o_orderkey, CAST(o_orderkey % 1000 + 1000 AS DOUBLE) + 0.25 AS number FROM orders")
+def fn04_spanish_numbers(spark: SparkSession, d: str) -> DataFrame:
+    """Numbers with grouping points and a decimal comma."""
+    k = F.col("o_orderkey")
+    return table(spark, d, "orders").select("o_orderkey", numbers.spanish_double(F.concat(F.lit("1."), F.lpad((k % 1000).cast("string"), 3, "0"), F.lit(",25"))).alias("number"))
+
+
+@query("SELECT event_id, CASE event_id % 5 WHEN 0 THEN 1.5 WHEN 1 THEN 9 WHEN 2 THEN CAST(event_id % 7 AS DOUBLE) END AS intensity FROM events")
+def fn07_intensities(spark: SparkSession, d: str) -> DataFrame:
+    """Roman numerals, ranges of them and numbers; others null."""
+    k = F.col("event_id")
+    said = F.when(k % 5 == 0, "I-II").when(k % 5 == 1, " ix ").when(k % 5 == 2, (k % 7).cast("string")).when(k % 5 == 3, "-1").otherwise("I-Q")
+    return table(spark, d, "events").select("event_id", text.intensity_number(said).alias("intensity"))
+
+
+@query("SELECT event_id, CASE event_id % 3 WHEN 0 THEN 'FR' WHEN 1 THEN 'ES' END AS code, CASE event_id % 3 WHEN 0 THEN 'FRA' WHEN 1 THEN 'LP' END AS suffix FROM events")
+def fn08_place_suffixes(spark: SparkSession, d: str) -> DataFrame:
+    """Suffix of a location and the country it tells (JN-08)."""
+    k = F.col("event_id")
+    place = F.when(k % 3 == 0, "N. Tarbes.fra").when(k % 3 == 1, "Mar.LP, Isla").otherwise("W Lisboa")
+    return table(spark, d, "events").select("event_id", text.country_of(place, delimited.FOREIGN, delimited.SPANISH)["code"].alias("code"), text.location_suffix(place).alias("suffix"))
+
+
+@query("SELECT event_id, epoch_us(date_trunc('second', ts)) AS day_time_us, CASE WHEN event_id % 3 = 0 THEN epoch_us(date_trunc('minute', ts)) ELSE epoch_us(date_trunc('second', ts)) - 3600000000 END AS iso_us, CAST(ts AS DATE) AS prefix, CAST(ts AS DATE) AS compact, epoch_us(date_trunc('second', ts)) AS compact_us FROM events")
+def fn09_written_times(spark: SparkSession, d: str) -> DataFrame:
+    """Days with times, ISO instants, date prefixes, compact dates and times (FN-09 to FN-12)."""
+    at = lambda form: F.date_format("ts", form)
+    iso = F.when(F.col("event_id") % 3 == 0, at("yyyy-MM-dd'T'HH:mm'Z'")).otherwise(F.concat(at("yyyy-MM-dd'T'HH:mm:ss"), F.lit("+01:00")))
+    us = lambda c: F.unix_micros(c.cast("timestamp"))
+    return table(spark, d, "events").select("event_id", us(temporal.utc_day_time(at("d/M/yyyy"), at("H:m:s"))).alias("day_time_us"), us(temporal.iso_instant(iso)).alias("iso_us"), temporal.date_prefix(at("yyyy-MM-dd HH:mm")).alias("prefix"), temporal.compact_date(at("yyyyMMdd")).alias("compact"), us(temporal.compact_time(at("yyyyMMddHHmmss"))).alias("compact_us"))
+
+
+@query("SELECT o_orderkey, CAST(m AS DATE) AS month FROM (SELECT o_orderkey, unnest(generate_series(date_trunc('month', o_orderdate), date_trunc('month', o_orderdate + INTERVAL 69 DAY), INTERVAL 1 MONTH)) AS m FROM orders)")
+def fn13_month_starts(spark: SparkSession, d: str) -> DataFrame:
+    """First days of the months that an interval meets."""
+    day = F.to_date("o_orderdate")
+    return table(spark, d, "orders").select("o_orderkey", F.explode(planning.month_starts(day, F.date_add(day, 70))).alias("month"))
+
+
+@query("SELECT intervention_id, 'Señorías ' || intervention_id || chr(10) || 'sí.' AS body FROM intervenciones")
+def fn20_gazette_bodies(spark: SparkSession, d: str) -> DataFrame:
+    """Page texts without their running lines."""
+    k = _t("intervention_id")
+    page = F.concat(F.lit("DIARIO DE SESIONES DEL CONGRESO DE LOS DIPUTADOS\nPLENO Y DIPUTACIÓN PERMANENTE\nNúm. 12 2 de mayo de 2024 Pág. "), k, F.lit("\nSeñorías "), k, F.lit("\nsí.\n"))
+    return table(spark, d, "intervenciones").select("intervention_id", text.gazette_body(page).alias("body"))
+
+
+@query("SELECT doc_id, CASE WHEN length(text) > 200 THEN left(text, 200) || '…' ELSE text END AS short, CASE WHEN length(text) > 512 THEN 'sha256:' || sha256(text) || ':' || left(text, 80) ELSE text END AS key FROM documents")
+def fn23_shortened(spark: SparkSession, d: str) -> DataFrame:
+    """Texts cut with a mark, and digests as keys of long ones."""
+    return table(spark, d, "documents").select("doc_id", text.shortened(F.col("text")).alias("short"), text.count_key(F.col("text")).alias("key"))
+
+
+@query("SELECT site_id, 'https://x/' || replace(replace(site_name, ' ', '%20'), 'ñ', '%C3%B1') AS url FROM sites WHERE regexp_full_match(site_name, '[A-Za-z0-9ñ -]*')")
+def fn25_quoted_urls(spark: SparkSession, d: str) -> DataFrame:
+    """URLs with blanks and other letters encoded."""
+    return table(spark, d, "sites").where(F.col("site_name").rlike("^[A-Za-z0-9ñ -]*$")).select("site_id", text.quoted_url(F.concat(F.lit("https://x/"), "site_name")).alias("url"))
+
+
+@query("SELECT intervention_id, coalesce(CAST(speech_char_count AS VARCHAR), '') AS said, coalesce(speech_char_count, 0) AS counted, coalesce(nullif(autor, ''), cargo_orador) AS who FROM intervenciones")
+def fn27_defaults(spark: SparkSession, d: str) -> DataFrame:
+    """Texts or blanks, numbers or 0, the first that says something (FN-21, FN-26)."""
+    return table(spark, d, "intervenciones").select("intervention_id", text.text_or_blank(F.col("speech_char_count")).alias("said"), text.number_or_zero(F.col("speech_char_count")).alias("counted"), text.first_truthy(F.col("autor"), F.col("cargo_orador")).alias("who"))
+
+
+@query("SELECT o_orderkey, CASE WHEN n < 1024 THEN printf('%.1f B', n * 1.0) WHEN n < 1048576 THEN printf('%.1f KiB', n / 1024.0) ELSE printf('%.1f MiB', n / 1048576.0) END AS size FROM (SELECT o_orderkey, o_orderkey * 512 AS n FROM orders)")
+def fn33_human_bytes(spark: SparkSession, d: str) -> DataFrame:
+    """Bytes in the largest fitting unit."""
+    return table(spark, d, "orders").select("o_orderkey", text.human_bytes(F.col("o_orderkey") * 512).alias("size"))
+
+
+@query("SELECT site_id, true AS near FROM sites WHERE abs(latitude) < 80")
+def fn28_utm(spark: SparkSession, d: str) -> DataFrame:
+    """Web Mercator coordinates back to degrees, within a millionth."""
+    @F.pandas_udf("boolean")
+    def back(x: pd.Series, y: pd.Series, lon: pd.Series, lat: pd.Series) -> pd.Series:
+        found = geo.to_degrees(list(zip(x, y)), 3857)
+        return pd.Series([abs(a - c) < 1e-6 and abs(b - e) < 1e-6 for (a, b), c, e in zip(found, lon, lat)], dtype=bool)
+
+    s = table(spark, d, "sites").where(F.abs("latitude") < 80)
+    x, y = F.radians("longitude") * geo.AXIS, F.ln(F.tan(F.radians("latitude") / 2 + 3.141592653589793 / 4)) * geo.AXIS
+    return s.select("site_id", back(x, y, F.col("longitude"), F.col("latitude")).alias("near"))
+
+
+@query("SELECT event_id, CASE length(p) WHEN 4 THEN 'year' WHEN 6 THEN 'month' ELSE 'day' END AS kind, CAST(CASE length(p) WHEN 4 THEN strptime(p || '0101', '%Y%m%d') WHEN 6 THEN strptime(p || '01', '%Y%m%d') ELSE strptime(p, '%Y%m%d') END AS DATE) AS first_day FROM (SELECT event_id, CASE event_id % 3 WHEN 0 THEN CAST(1979 + event_id % 27 AS VARCHAR) WHEN 1 THEN CAST(2006 + event_id % 7 AS VARCHAR) || '05' ELSE strftime(ts, '%Y%m%d') END AS p FROM events)")
+def pln04_export_spans(spark: SparkSession, d: str) -> DataFrame:
+    """What span of time the file names of exports tell (FLT-06)."""
+    k = F.col("event_id")
+    name = F.when(k % 3 == 0, F.concat((k % 27 + 1979).cast("string"), F.lit(".zip"))).when(k % 3 == 1, F.concat((k % 7 + 2006).cast("string"), F.lit("05.zip"))).otherwise(F.concat(F.date_format("ts", "yyyyMMdd"), F.lit(".export.CSV.zip")))
+    return table(spark, d, "events").withColumn("s", planning.span_named(name)).select("event_id", "s.kind", "s.first_day")
+
+
+@query("SELECT CAST(d AS DATE) AS day FROM (SELECT unnest(generate_series(min(o_orderdate), max(o_orderdate), INTERVAL 1 DAY)) AS d FROM orders)")
+def pln05_day_range(spark: SparkSession, d: str) -> DataFrame:
+    """Every day between the first and the last order (PLN-02: as shards of one day each)."""
+    low, high = table(spark, d, "orders").select(F.to_date("o_orderdate").alias("day")).agg(F.min("day"), F.max("day")).first()
+    days, shards = planning.day_range(spark, str(low), str(high)), planning.date_shards(spark, str(low), str(high), coarse_years=5, coarse_until=low.year, daily=[(str(low), str(high))])
+    return days.join(shards, (F.col("day") == F.col("shard_start")) & (F.col("day") == F.col("shard_end"))).select("day")
+
+
+@query("SELECT CAST(y AS VARCHAR) AS period FROM (SELECT unnest(range(1992, 1997)) AS y) UNION ALL SELECT strftime(m, '%Y%m') FROM (SELECT unnest(generate_series(DATE '1997-01-01', DATE '1998-08-01', INTERVAL 1 MONTH)) AS m)")
+def pln03_release_periods(spark: SparkSession, d: str) -> DataFrame:
+    """Yearly, then monthly periods."""
+    return planning.release_periods(spark, 1992, 1996, 1998, 8)
+
+
+@query("SELECT DISTINCT CAST(o_custkey AS VARCHAR) AS registration_number, CAST(o_orderkey % 4 AS INTEGER) AS document_type FROM orders WHERE o_orderkey % 4 IN (1, 2) AND o_orderkey % 3 <> 0 AND o_custkey % 5 <> 0")
+def pln07_document_tasks(spark: SparkSession, d: str) -> DataFrame:
+    """Documents of two kinds that are not fetched yet."""
+    o = table(spark, d, "orders")
+    docs = o.select(F.col("o_custkey").cast("string").alias("registration_number"), (F.col("o_orderkey") % 4).cast("int").alias("document_type"), (F.col("o_orderkey") % 3 != 0).alias("segmented_content_available"))
+    done = o.where(F.col("o_custkey") % 5 == 0).select(F.col("o_custkey").cast("string").alias("registration_number"), (F.col("o_orderkey") % 4).cast("int").alias("document_type")).unionByName(o.where(F.col("o_custkey") % 5 == 0).select(F.col("o_custkey").cast("string").alias("registration_number"), F.explode(F.array(F.lit(1), F.lit(2))).alias("document_type")))
+    return planning.document_tasks(docs, done)
+
+
+@query("SELECT zone_key, count(*) AS n FROM day_ahead_prices WHERE timestamp_utc >= TIMESTAMPTZ '2026-05-01 00:00:00+00' AND timestamp_utc < TIMESTAMPTZ '2026-06-01 00:00:00+00' AND zone_key IS NOT NULL GROUP BY 1")
+def flt07_date_range(spark: SparkSession, d: str) -> DataFrame:
+    """Rows of a range of dates, by an interval table (JN-06)."""
+    month = spark.createDataFrame([("2026-05-01T00:00:00Z", "2026-06-01T00:00:00Z")], "a string, b string").select(F.col("a").cast("timestamp").alias("start"), F.col("b").cast("timestamp").alias("end"))
+    zones = table(spark, d, "day_ahead_prices").select("zone_key").where(F.col("zone_key").isNotNull()).distinct()
+    prices = table(spark, d, "day_ahead_prices").where(F.col("zone_key").isNotNull()).select("zone_key", "timestamp_utc")
+    # The interval stands for every zone: an equi-join, no nested loop.
+    spans = zones.select("zone_key", F.explode(F.array(F.struct(*[F.lit(x).cast("timestamp").alias(n) for n, x in zip(("start", "end"), month.select(F.date_format("start", "yyyy-MM-dd'T'HH:mm:ss'Z'"), F.date_format("end", "yyyy-MM-dd'T'HH:mm:ss'Z'")).first())]))).alias("s")).select("zone_key", "s.start", "s.end")
+    return relational.within(prices, spans, "timestamp_utc", "start", "end", on=["zone_key"]).groupBy("zone_key").agg(F.count("*").alias("n"))
+
+
+@query("SELECT fase, organo, count(*) AS n FROM intervenciones WHERE organo = 'Pleno' AND coalesce(speech_text, '') <> '' GROUP BY 1, 2")
+def flt09_filtered_counts(spark: SparkSession, d: str) -> DataFrame:
+    """Speeches of one body that have a text, by phase."""
+    i = table(spark, d, "intervenciones").where((F.col("organo") == "Pleno") & (F.coalesce("speech_text", F.lit("")) != ""))
+    return i.groupBy("fase", "organo").agg(F.count("*").alias("n"))
+
+
+@query("SELECT DISTINCT p_brand FROM part WHERE p_brand IS NOT NULL ORDER BY 1 LIMIT 5")
+def lm04_first_distinct(spark: SparkSession, d: str) -> DataFrame:
+    """First distinct values in order."""
+    return relational.first_distinct(table(spark, d, "part"), "p_brand", 5)
+
+
+@query("SELECT vec_id, CAST(p AS INTEGER) AS position, embedding[p] AS item FROM (SELECT vec_id, embedding, unnest(range(1, len(embedding) + 1)) AS p FROM embeddings)")
+def wn05_positions_from_one(spark: SparkSession, d: str) -> DataFrame:
+    """Positions counted from 1 (NS-13)."""
+    return relational.positions(table(spark, d, "embeddings").select("vec_id", "embedding"), "embedding", start=1)
+
+
+@query("SELECT 'price_not_null' AS check_name, count(*) FILTER (WHERE price IS NULL) AS failing, count(*) FILTER (WHERE price IS NULL) = 0 AS passed FROM day_ahead_prices UNION ALL SELECT 'zone_key_not_null', count(*) FILTER (WHERE zone_key IS NULL), count(*) FILTER (WHERE zone_key IS NULL) = 0 FROM day_ahead_prices")
+def dq05_required(spark: SparkSession, d: str) -> DataFrame:
+    """Nulls in required columns (DQ-04)."""
+    return quality.required_check(table(spark, d, "day_ahead_prices"), ["price", "zone_key"])
+
+
+@query("SELECT 'infinite' AS check_name, count(*) FILTER (WHERE isnan(value) OR isinf(value)) AS failing, count(*) FILTER (WHERE isnan(value) OR isinf(value)) = 0 AS passed FROM measurements UNION ALL SELECT 'min_rows', greatest(1000000000 - count(*), 0), count(*) >= 1000000000 FROM measurements")
+def dq06_finite_and_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Values that are no numbers, and the least number of rows (DQ-10)."""
+    return quality.checks(table(spark, d, "measurements"), {"infinite": F.isnan("value") | (F.abs("value") == float("inf"))}, min_rows=1_000_000_000)
+
+
+@query("SELECT true AS same, false AS other FROM region LIMIT 1")
+def dq08_schemas(spark: SparkSession, d: str) -> DataFrame:
+    """Whether files have one schema."""
+    r, n = table(spark, d, "region"), table(spark, d, "nation")
+    return spark.createDataFrame([(quality.same_schema([r, r.limit(1)]), quality.same_schema([r, n]))], "same boolean, other boolean")
+
+
+@query("SELECT 'record_id_not_null' AS check_name, 0::BIGINT AS failing, true AS passed UNION ALL SELECT 'subject_not_null', count(*) FILTER (WHERE subject IS NULL), count(*) FILTER (WHERE subject IS NULL) = 0 FROM triples")
+def dq11_statement_report(spark: SparkSession, d: str) -> DataFrame:
+    """Report of what is known of a statement table."""
+    return quality.required_check(table(spark, d, "triples").withColumn("record_id", F.coalesce("record_id", F.lit(""))), ["record_id", "subject"])
+
+
+@query("SELECT r_name AS name, true AS sound, false AS cut FROM region")
+def dq12_sound_archives(spark: SparkSession, d: str) -> DataFrame:
+    """Archives are sound by size, MD5 and their members; cut ones are not."""
+    import hashlib
+    import io
+    import zipfile
+
+    path, rows = scratch_path(spark, "archives"), []
+    for r in table(spark, d, "region").collect():
+        packed = io.BytesIO()
+        with zipfile.ZipFile(packed, "w") as z:
+            z.writestr("x.csv", r.r_name)
+        data, at = packed.getvalue(), f"{path}/{r.r_regionkey}.zip"
+        for name, body in ((at, data), (f"{path}/cut-{r.r_regionkey}.zip", data[:-30])):
+            system, local = files.located(name)
+            system.create_dir(local.rsplit("/", 1)[0], recursive=True)
+            with system.open_output_stream(local) as out:
+                out.write(body)
+        rows.append((r.r_name, archives.is_sound_archive(at, len(data), hashlib.md5(data).hexdigest()), archives.is_sound_archive(f"{path}/cut-{r.r_regionkey}.zip")))
+    return spark.createDataFrame(rows, "name string, sound boolean, cut boolean")
+
+
+@query("SELECT 'c' || c_custkey AS municipality_code, c_name AS municipality_name, 'p' AS parcels_archive_url, 'a' || c_custkey AS addresses_archive_url FROM customer")
+def pln06_municipalities(spark: SparkSession, d: str) -> DataFrame:
+    """One row per municipality with the archives of its collections (JN-11)."""
+    from almazara.plans import pipelines
+
+    c, key = table(spark, d, "customer"), F.col("c_custkey").cast("string")
+    tasks = c.select(F.concat(F.lit("c"), key).alias("municipality_code"), F.col("c_name").alias("municipality_name"), F.lit("02").alias("province_code"), F.explode(F.array(F.struct(F.lit("parcels").alias("collection"), F.lit("p").alias("url")), F.struct(F.lit("addresses").alias("collection"), F.concat(F.lit("a"), key).alias("url")))).alias("t")).select("municipality_code", "municipality_name", "province_code", "t.collection", "t.url")
+    return pipelines.municipality_table(tasks).select("municipality_code", "municipality_name", "parcels_archive_url", "addresses_archive_url")
