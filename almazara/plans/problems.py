@@ -30,6 +30,16 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
     return cells.where(F.col("status") == "missing").select("zone_key", (F.col("step_s") / 60).cast("long").alias("step_minutes"), "period_epoch")
 
 
+#: Seconds for which a price holds beyond its period in ``p1_carried``.
+CARRY_S = 7200
+
+
+def p1_carried(spark: SparkSession, d: str) -> DataFrame:
+    """Every period of every price series, each price valid until the next or two hours beyond its period: intervals cut by the cells they meet."""
+    cells = _price_grid(spark, d, carry_s=CARRY_S)
+    return cells.select("zone_key", (F.col("step_s") / 60).cast("long").alias("step_minutes"), "period_epoch", F.round("covered_fraction", 9).alias("covered_fraction"), F.round("twa", 9).alias("twa"), "readings", "status")
+
+
 def _with_unit(spark: SparkSession, d: str, *columns: str) -> DataFrame:
     m = table(spark, d, "measurements").select(*dict.fromkeys(["measurement_id", "device_id", "value", "unit", "radiation", "location_name", *columns]))
     return units.with_source_unit(m, unit="unit", texts=["radiation", "location_name"])
@@ -116,7 +126,7 @@ def p7_found(spark: SparkSession, d: str) -> DataFrame:
     return timestamps.union_all(frames)
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_grid, p2_found, p2_converted, p3_found, p3_regions, p4_found, p4_wide, p4_multi_values, p4_sets, p7_found, p7_instants)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_grid, p1_carried, p2_found, p2_converted, p3_found, p3_regions, p4_found, p4_wide, p4_multi_values, p4_sets, p7_found, p7_instants)}
 
 
 def p6_scored(spark: SparkSession, d: str) -> DataFrame:
@@ -141,6 +151,18 @@ _CATALOGUED = r"""
 
 #: Brute-force SQL of the same results, where SQL can say them.
 ORACLES = {
+    "p1_carried": """
+        WITH p AS (
+            SELECT zone_key, epoch_us(timestamp_utc) AS us, price, coalesce(revision_number, -1) AS rev, coalesce(record_id, '') AS rec, 60000000::BIGINT * CASE WHEN resolution IN ('PT15M', 'PT0H15M', 'PT900S') THEN 15 WHEN resolution IN ('PT30M', 'PT1800S', 'PT0H30M') THEN 30 WHEN resolution IN ('PT60M', 'PT1H', 'PT1H0M', 'PT3600S') THEN 60 END AS width
+            FROM day_ahead_prices WHERE zone_key IS NOT NULL AND timestamp_utc IS NOT NULL),
+        r AS (SELECT zone_key, width, us, arg_max(price, (rev, rec, price)) AS v FROM p WHERE width IS NOT NULL AND price IS NOT NULL AND NOT isnan(price) GROUP BY 1, 2, 3),
+        i AS (SELECT zone_key, width, us, v, least(coalesce(lead(us) OVER (PARTITION BY zone_key, width ORDER BY us), 9e18::BIGINT), (us // width + 1) * width + 7200000000) AS until FROM r),
+        g AS (SELECT zone_key, width, unnest(range(min(us // width), max(us // width) + 1)) AS cell FROM p WHERE width IS NOT NULL GROUP BY 1, 2),
+        c AS (SELECT g.zone_key, g.width, g.cell, sum(least(until, (cell + 1) * g.width) - greatest(us, cell * g.width)) AS cover, sum(v * (least(until, (cell + 1) * g.width) - greatest(us, cell * g.width))) AS area, count(*) FILTER (WHERE us // g.width = cell) AS readings
+              FROM g JOIN i ON g.zone_key = i.zone_key AND g.width = i.width AND us < (cell + 1) * g.width AND until > cell * g.width GROUP BY 1, 2, 3)
+        SELECT zone_key, CAST(width // 60000000 AS BIGINT) AS step_minutes, CAST(cell * width // 1000000 AS BIGINT) AS period_epoch, round(coalesce(CAST(cover AS DOUBLE) / width, 0), 9) AS covered_fraction, round(area / CAST(cover AS DOUBLE), 9) AS twa, CAST(coalesce(readings, 0) AS BIGINT) AS readings, CASE WHEN cover > 0 THEN 'measured' ELSE 'missing' END AS status
+        FROM g LEFT JOIN c USING (zone_key, width, cell)
+    """,
     "p1_found": """
         WITH p AS (
             SELECT zone_key, timestamp_utc, price, CASE WHEN resolution IN ('PT15M', 'PT0H15M', 'PT900S') THEN 15 WHEN resolution IN ('PT30M', 'PT1800S', 'PT0H30M') THEN 30 WHEN resolution IN ('PT60M', 'PT1H', 'PT1H0M', 'PT3600S') THEN 60 END AS minutes

@@ -88,7 +88,7 @@ def ns11_station_days(spark: SparkSession, d: str) -> DataFrame:
     return delimited.station_rows(_file_lines(o, line)).select("station_id", "date", "element", "value", "quality_flag")
 
 
-@query("SELECT 'es' || event_id AS event_id, epoch_us(date_trunc('second', ts)) AS at_us, CAST(event_id % 90 AS DOUBLE) AS latitude, CASE WHEN event_id % 2 = 0 THEN 'A; B. C.TE' ELSE 'Norte.POR' END AS location, CASE WHEN event_id % 2 = 0 THEN 'Spain' ELSE 'Portugal' END AS country_name, CASE WHEN event_id % 3 = 0 THEN 4.5 END AS intensity FROM events")
+@query("SELECT 'es' || event_id AS event_id, epoch_us(date_trunc('second', ts)) AS at_us, CAST(event_id % 90 AS DOUBLE) AS latitude, CASE WHEN event_id % 2 = 0 THEN 'A; B. C.TE' ELSE 'Norte.POR' END AS location, CASE WHEN event_id % 2 = 0 THEN 'Spain' ELSE 'Portugal' END AS country_name, CASE WHEN event_id % 3 = 0 THEN CAST(4.5 AS DOUBLE) END AS intensity FROM events")
 def src06_quoted_earthquakes(spark: SparkSession, d: str) -> DataFrame:
     """Semicolon lines, some fields quoted with separators inside (FN-07, FN-08, FN-09, JN-08)."""
     e = table(spark, d, "events")
@@ -101,7 +101,7 @@ def src06_quoted_earthquakes(spark: SparkSession, d: str) -> DataFrame:
     return out.select("event_id", F.unix_micros("occurred_at_utc").alias("at_us"), "latitude", "location", "country_name", F.col("maximum_intensity_numeric").alias("intensity"))
 
 
-@query("SELECT CAST(o_orderdate AS DATE) AS date, CAST(o_orderkey % 24 + 1 AS INTEGER) AS hour, round(o_orderkey % 1000 / 10.0, 1) AS price_es, round(o_orderkey % 1000 / 10.0 + 1, 1) AS price_pt FROM orders")
+@query("SELECT CAST(o_orderdate AS DATE) AS date, CAST(o_orderkey % 24 + 1 AS INTEGER) AS hour, CAST(o_orderkey % 1000 / 10.0 AS DOUBLE) AS price_es, CAST(o_orderkey % 1000 / 10.0 + 1 AS DOUBLE) AS price_pt FROM orders")
 def src08_marginal_prices(spark: SparkSession, d: str) -> DataFrame:
     """Hourly price lines with decimal commas (FLT-04)."""
     o, k = table(spark, d, "orders"), F.col("o_orderkey")
@@ -449,7 +449,7 @@ def fn04_spanish_numbers(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "orders").select("o_orderkey", numbers.spanish_double(F.concat(F.lit("1."), F.lpad((k % 1000).cast("string"), 3, "0"), F.lit(",25"))).alias("number"))
 
 
-@query("SELECT event_id, CASE event_id % 5 WHEN 0 THEN 1.5 WHEN 1 THEN 9 WHEN 2 THEN CAST(event_id % 7 AS DOUBLE) END AS intensity FROM events")
+@query("SELECT event_id, CASE event_id % 5 WHEN 0 THEN CAST(1.5 AS DOUBLE) WHEN 1 THEN 9 WHEN 2 THEN CAST(event_id % 7 AS DOUBLE) END AS intensity FROM events")
 def fn07_intensities(spark: SparkSession, d: str) -> DataFrame:
     """Roman numerals, ranges of them and numbers; others null."""
     k = F.col("event_id")
