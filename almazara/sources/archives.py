@@ -111,6 +111,47 @@ def member_texts(spark: SparkSession, paths: list[str], *, suffix: str = "", enc
     return names.mapInPandas(run, "archive string, member string, text string")
 
 
+def member_elements(spark: SparkSession, paths: list[str], names: list[str], *, suffix: str = "") -> DataFrame:
+    """(archive, member, text): the elements of these names of XML members, one a row, each in a root of its own.
+
+    Members are parsed as they are unpacked and elements let go once they are given
+    on, so a member of any size takes the memory of one element. A member without
+    such an element gives no row.
+    """
+    archives_ = spark.createDataFrame([(p,) for p in paths], "archive string").repartition(max(1, len(paths)))
+
+    def run(frames):
+        import xml.etree.ElementTree as ET
+
+        import pandas as pd
+
+        for frame in frames:
+            for path in frame["archive"]:
+                for member, stream in open_members(path, suffix):
+                    rows, root, depth, inside = [], None, 0, 0
+                    for event, element in ET.iterparse(stream, events=("start", "end")):
+                        wanted = element.tag.rsplit("}", 1)[-1] in names
+                        if event == "start":
+                            root = element if root is None else root
+                            depth, inside = depth + 1, inside + wanted
+                            continue
+                        depth, inside = depth - 1, inside - wanted
+                        # The outermost of nested elements is given on whole.
+                        if wanted and not inside:
+                            element.tail = None
+                            rows.append((path, member, f"<root>{ET.tostring(element, encoding='unicode')}</root>"))
+                            element.clear()
+                        if not inside and depth == 1:
+                            root.clear()
+                        if len(rows) >= 500:
+                            yield pd.DataFrame(rows, columns=["archive", "member", "text"])
+                            rows = []
+                    if rows:
+                        yield pd.DataFrame(rows, columns=["archive", "member", "text"])
+
+    return archives_.mapInPandas(run, "archive string, member string, text string")
+
+
 def is_sound_archive(path: str, size: int | None = None, md5: str | None = None) -> bool:
     """Whether an archive has its size and MD5 and its members read back whole. DQ-12."""
     import hashlib

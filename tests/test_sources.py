@@ -217,3 +217,29 @@ def test_map_features(spark):
     assert r.condition_of_construction == "urn:condition:functional" and (r.bbox_min_x, r.bbox_min_y, r.bbox_max_x, r.bbox_max_y) == (-1.0, 39.0, 0.0, 40.0)
     assert struct.unpack("<BII", bytes(r.geometry)[:9]) == (1, 3, 1) and r.cadastral_parcel_refs == ["p1"] and r.address_refs == [] and r.properties_json == '{"localId":"oc-1","namespace":"ES.TEST"}'
     assert markup.feature_table(features, "parcels").count() == 0
+
+
+def test_elements_of_members_one_by_one(spark, tmp_path):
+    entry = FEED[FEED.index("<entry>") : FEED.index("</feed>")]
+    head = FEED[: FEED.index("<entry>")]
+    many = head + "".join(entry.replace("t/1", f"t/{i}").replace("t/2", f"gone/{i}") for i in range(1200)) + "</feed>"
+    with zipfile.ZipFile(tmp_path / "a.zip", "w") as z:
+        z.writestr("f.atom", many)
+        z.writestr("g.txt", "no")
+        z.writestr("none.atom", "<feed/>")
+    texts = archives.member_elements(spark, [f"file://{tmp_path}/a.zip"], ["entry", "deleted-entry"], suffix=".atom")
+    assert texts.count() == 2400
+    t, whole = markup.procurement_tables(texts), markup.procurement_tables(archives.member_texts(spark, [str(tmp_path / "a.zip")], suffix="f.atom"))
+    for name in t:
+        columns = [c for c in t[name].columns if c not in ("source_archive",)]
+        a, b = ([tuple(r) for r in x[name].select(*columns).collect()] for x in (t, whole))
+        assert sorted(a, key=str) == sorted(b, key=str), name
+
+
+def test_quoted_earthquake_fields(spark, tmp_path):
+    head = "Evento;Fecha;Hora;Latitud;Longitud;Prof.;Inten.;Mag.;Tipo;Lugar\n"
+    (tmp_path / "e.csv").write_text(head + 'a;01/08/2026;02:52:42;1;2;3;;2.1;;"N ""X""; B.TE"\nb;01/08/2026;02:52:42;1;2;3;;2.1;;C.TE\n', encoding="utf-8")
+    assert sorted((r.event_id, r.location) for r in delimited.read_earthquake_csv(spark, str(tmp_path / "e.csv")).collect()) == [("a", 'N "X"; B.TE'), ("b", "C.TE")]
+    (tmp_path / "bad.csv").write_text(head + 'a;"b;c;d;e;f;g;h;i;j;k"\n')
+    with pytest.raises(Exception):
+        delimited.read_earthquake_csv(spark, str(tmp_path / "bad.csv")).collect()
