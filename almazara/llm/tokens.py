@@ -6,12 +6,13 @@ import base64
 from functools import lru_cache
 
 import pandas as pd
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from almazara.runtime import materialize
 
-#: Ranks of the byte-level vocabulary; a path that every executor can read.
+#: Ranks of the byte-level vocabulary; a path that the driver can read, the file goes to the executors with the job.
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 
 # Fixed value: the vocabulary's pattern of pieces.
@@ -36,8 +37,11 @@ def token_sizes(documents: DataFrame, *, path: str = TOKENIZER) -> DataFrame:
     texts have no tokens and give no row.
     """
 
+    documents.sparkSession.sparkContext.addFile(path)
+    name = path.rsplit("/", 1)[-1]
+
     def run(frames):
-        encode = encoder(path).encode_ordinary
+        encode = encoder(SparkFiles.get(name)).encode_ordinary
         for frame in frames:
             sizes = [len(encode(t)) for t in frame["text"]]
             yield pd.DataFrame({"doc_id": frame["doc_id"], "source": frame["source"], "tokens": sizes})
