@@ -43,22 +43,48 @@ def labelled(df: DataFrame, code: str, labels: dict, name: str, other: str = "un
     return df.withColumn(name, F.coalesce(F.try_element_at(known, F.col(code)), F.lit(other)))
 
 
+def _number(df: DataFrame, column: str) -> Column:
+    """A time or number as a double: microseconds, days or the number itself."""
+    kind = dict(df.dtypes)[column]
+    if kind.startswith("timestamp"):
+        return F.unix_micros(F.col(column).cast("timestamp")).cast("double")
+    return F.unix_date(column).cast("double") if kind == "date" else F.col(column).cast("double")
+
+
 def within(df: DataFrame, intervals: DataFrame, at: str, start: str, end: str, on: list[str] | None = None) -> DataFrame:
     """Rows joined with the half-open intervals [start, end) that hold them; null bounds are open. FLT-01, JN-06.
 
-    With ``on`` the intervals are met by an equi-join first.
+    With ``on`` the intervals are met by an equi-join on these columns. Without, an
+    interval lies in the two cells at most of a size no smaller than itself, and a
+    row looks into one cell of each size in use: an equi-join as well, whatever the
+    lengths of the intervals.
     """
     inside = (F.col(start).isNull() | (F.col(at) >= F.col(start))) & (F.col(end).isNull() | (F.col(at) < F.col(end)))
-    if not on:
-        return df.join(intervals, inside)
-    right = intervals.select(*[F.col(k).alias(f"_{k}") for k in on], *[c for c in intervals.columns if c not in on])
-    keys = reduce(Column.__and__, [F.col(k) == F.col(f"_{k}") for k in on])
-    return df.join(right, keys & inside).drop(*[f"_{k}" for k in on])
-
-
-def two_hop(edges: DataFrame, subject: str = "subject", predicate: str = "predicate", obj: str = "object") -> DataFrame:
-    """(subject, via, object, first_predicate, second_predicate): paths of two edges. JN-13."""
-    a = edges.select(F.col(subject).alias("subject"), F.col(predicate).alias("first_predicate"), F.col(obj).alias("via"))
+    if on:
+        right = intervals.select(*[F.col(k).alias(f"_{k}") for k in on], *[c for c in intervals.columns if c not in on])
+        keys = reduce(Column.__and__, [F.col(k) == F.col(f"_{k}") for k in on])
+        return df.join(right, keys & inside).drop(*[f"_{k}" for k in on])
+    low, high = df.select(_number(df, at).alias("x")).agg(F.min("x"), F.max("x")).first()
+    if low is None:
+        low = high = 0.0
+    # Open ends reach as far as the rows do.
+    lo, hi = F.greatest(F.coalesce(_number(intervals, start), F.lit(low)), F.lit(low)), F.least(F.coalesce(_number(intervals, end), F.lit(high + 1)), F.lit(high + 1))
+    sized = intervals.withColumn("_lo", lo).withColumn("_hi", hi).where((F.col("_lo") < F.col("_hi")) & (F.col(start).isNull() | F.col(end).isNull() | (F.col(start) < F.col(end))))
+    sized = materialize(sized.withColumn("_size", F.ceil(F.log2(F.col("_hi") - F.col("_lo"))).cast("int")), "intervals")
+    # Sizes are powers of two: as many as there are bits in the lengths.
+    sizes = sorted(r[0] for r in sized.select("_size").distinct().collect())
+    cell = lambda x, size: F.floor(x / F.pow(F.lit(2.0), size))
+    right = sized.withColumn("_cell", F.explode(F.sequence(cell(F.col("_lo"), F.col("_size")), cell(F.col("_hi"), F.col("_size"))))).drop("_lo", "_hi")
+    x = _number(df, at)
+    looks = F.array(*[F.struct(F.lit(n).alias("size"), cell(x, F.lit(n)).alias("cell")) for n in sizes]) if sizes else F.array().cast("array<struct<size:int,cell:bigint>>")
+    left = df.withColumn("_look", F.explode(looks))
+    return left.join(right, (F.col("_look.size") == F.col("_size")) & (F.col("_look.cell") == F.col("_cell")) & inside).drop("_look", "_size", "_cell")
+
+
+def two_hop(edges: DataFrame, subject: str = "subject", predicate: str = "predicate", obj: str = "object", leads: Column | None = None) -> DataFrame:
+    """(subject, via, object, first_predicate, second_predicate): paths of two edges, the first of those that ``leads`` on. JN-13."""
+    first = edges if leads is None else edges.where(leads)
+    a = first.select(F.col(subject).alias("subject"), F.col(predicate).alias("first_predicate"), F.col(obj).alias("via"))
     b = edges.select(F.col(subject).alias("via"), F.col(predicate).alias("second_predicate"), F.col(obj).alias("object"))
     return a.join(b, "via").select("subject", "via", "object", "first_predicate", "second_predicate")
 

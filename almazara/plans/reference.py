@@ -256,10 +256,7 @@ def pln01_task_grid(spark: SparkSession, d: str) -> DataFrame:
 @query("SELECT a.subject, a.object AS via, b.object, a.predicate AS first_predicate, b.predicate AS second_predicate FROM triples a JOIN triples b ON a.object = b.subject WHERE a.object_kind = 'iri'")
 def jn13_two_hop(spark: SparkSession, d: str) -> DataFrame:
     """Paths of two statements."""
-    t = table(spark, d, "triples").select("subject", "predicate", "object", "object_kind")
-    a = t.where(F.col("object_kind") == "iri").select("subject", F.col("predicate").alias("first_predicate"), F.col("object").alias("via"))
-    b = t.select(F.col("subject").alias("via"), F.col("predicate").alias("second_predicate"), "object")
-    return a.join(b, "via").select("subject", "via", "object", "first_predicate", "second_predicate")
+    return relational.two_hop(table(spark, d, "triples"), leads=F.col("object_kind") == "iri")
 
 
 @query("SELECT i.intervention_id, t.title FROM intervenciones i JOIN initiatives t ON i.num_expediente = t.expediente WHERE i.num_expediente <> ''")

@@ -371,7 +371,7 @@ def snk05_tables_by_value(spark: SparkSession, d: str) -> DataFrame:
     parts = spark.read.parquet(path).withColumn("f", F.input_file_name()).withColumn("at", F.monotonically_increasing_id())
     order = parts.groupBy("f").agg((F.array_sort(F.collect_list(F.struct("at", "event_id")))["event_id"] == F.array_sort(F.collect_list("event_id"))).alias("ok")).agg(F.bool_and("ok").alias("sorted"))
     out = parts.groupBy("event_type").agg(F.count("*").alias("n"), F.sum("event_id").alias("total")).unionByName(spark.read.parquet(f"{path}_all").agg(F.lit("_all").alias("event_type"), F.count("*").alias("n"), F.sum("event_id").alias("total")))
-    return out.join(order)
+    return out.withColumn("sorted", F.lit(order.first().sorted))
 
 
 @query("SELECT 'region' AS name, count(*) AS counted, count(*) AS n FROM region UNION ALL SELECT 'nation', count(*), count(*) FROM nation UNION ALL SELECT 'none', 0, 0")
@@ -379,7 +379,7 @@ def snk07_counted_tables(spark: SparkSession, d: str) -> DataFrame:
     """Several tables, each counted while it is written."""
     path = scratch_path(spark, "tables")
     counts = sinks.write_tables({"region": table(spark, d, "region"), "nation": table(spark, d, "nation"), "none": table(spark, d, "nation").limit(0)}, path, 10)
-    frames = {n: spark.createDataFrame([(n, c)], "name string, counted long").join(spark.read.parquet(f"{path}/{n}").agg(F.count("*").alias("n"))) for n, c in counts.items()}
+    frames = {n: spark.read.parquet(f"{path}/{n}").agg(F.lit(n).alias("name"), F.lit(c).cast("long").alias("counted"), F.count("*").alias("n")) for n, c in counts.items()}
     return relational.tagged_union(frames, "_").drop("_")
 
 
@@ -560,12 +560,9 @@ def pln07_document_tasks(spark: SparkSession, d: str) -> DataFrame:
 @query("SELECT zone_key, count(*) AS n FROM day_ahead_prices WHERE timestamp_utc >= TIMESTAMPTZ '2026-05-01 00:00:00+00' AND timestamp_utc < TIMESTAMPTZ '2026-06-01 00:00:00+00' AND zone_key IS NOT NULL GROUP BY 1")
 def flt07_date_range(spark: SparkSession, d: str) -> DataFrame:
     """Rows of a range of dates, by an interval table (JN-06)."""
-    month = spark.createDataFrame([("2026-05-01T00:00:00Z", "2026-06-01T00:00:00Z")], "a string, b string").select(F.col("a").cast("timestamp").alias("start"), F.col("b").cast("timestamp").alias("end"))
-    zones = table(spark, d, "day_ahead_prices").select("zone_key").where(F.col("zone_key").isNotNull()).distinct()
+    month = spark.range(1).select(F.lit("2026-05-01T00:00:00Z").cast("timestamp").alias("start"), F.lit("2026-06-01T00:00:00Z").cast("timestamp").alias("end"))
     prices = table(spark, d, "day_ahead_prices").where(F.col("zone_key").isNotNull()).select("zone_key", "timestamp_utc")
-    # The interval stands for every zone: an equi-join, no nested loop.
-    spans = zones.select("zone_key", F.explode(F.array(F.struct(*[F.lit(x).cast("timestamp").alias(n) for n, x in zip(("start", "end"), month.select(F.date_format("start", "yyyy-MM-dd'T'HH:mm:ss'Z'"), F.date_format("end", "yyyy-MM-dd'T'HH:mm:ss'Z'")).first())]))).alias("s")).select("zone_key", "s.start", "s.end")
-    return relational.within(prices, spans, "timestamp_utc", "start", "end", on=["zone_key"]).groupBy("zone_key").agg(F.count("*").alias("n"))
+    return relational.within(prices, month, "timestamp_utc", "start", "end").groupBy("zone_key").agg(F.count("*").alias("n"))
 
 
 @query("SELECT fase, organo, count(*) AS n FROM intervenciones WHERE organo = 'Pleno' AND coalesce(speech_text, '') <> '' GROUP BY 1, 2")

@@ -111,3 +111,17 @@ def test_stream_gives_what_the_batch_gives(spark, tmp_path, rows):
     query.awaitTermination(120)
     assert rows(spark.table("hours")) == batch
     assert events.sessions(df, "ts", "20 minutes", ["kind"]).count() == 100
+
+
+def test_intervals_of_any_length_against_brute_force(spark):
+    import random
+
+    rng = random.Random(6)
+    points = [(i, rng.uniform(-50, 50)) for i in range(300)] + [(900, None)]
+    spans = [(i, a, a + rng.choice([0.0, 0.01, 1.0, 7.5, 80.0])) for i in range(60) for a in [rng.uniform(-60, 60)]] + [(100, None, 0.0), (101, 10.0, None), (102, None, None), (103, 5.0, 4.0)]
+    p, s = spark.createDataFrame(points, "p int, x double"), spark.createDataFrame(spans, "s int, lo double, hi double")
+    out = relational.within(p, s, "x", "lo", "hi")
+    want = sorted((i, k) for i, x in points if x is not None for k, lo, hi in spans if (lo is None or x >= lo) and (hi is None or x < hi))
+    assert sorted((r.p, r.s) for r in out.collect()) == want and out.columns == ["p", "x", "s", "lo", "hi"]
+    assert "NestedLoop" not in out._jdf.queryExecution().toString() and "Cartesian" not in out._jdf.queryExecution().toString()
+    assert relational.within(p.limit(0), s, "x", "lo", "hi").count() == 0 and relational.within(p, s.limit(0), "x", "lo", "hi").count() == 0
