@@ -144,14 +144,16 @@ def numbered_shards(df: DataFrame, order: list[str], rows_per_shard: int) -> Dat
     Rows are ranged by the order, counted per range, and numbered inside each
     range after the counts of those before it: no global sort in one task. The
     ranges come from a sample, so they are written down before both uses. Rows
-    equal in the order may be numbered either way.
+    equal in the order are told apart by a hash of their columns, so that very many
+    of them make several ranges; full copies may be numbered either way.
     """
-    ranged = materialize(df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()), "ranges")
+    tie = F.xxhash64(*[c for c, kind in df.dtypes if "map<" not in kind])
+    ranged = materialize(df.withColumn("_tie", tie).repartitionByRange(*order, "_tie").withColumn("_part", F.spark_partition_id()), "ranges")
     sizes = ranged.groupBy("_part").agg(F.count("*").alias("_n"))
     before = F.coalesce(F.sum("_n").over(Window.partitionBy(F.lit(1)).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    number = F.row_number().over(Window.partitionBy("_part").orderBy(*order))
+    number = F.row_number().over(Window.partitionBy("_part").orderBy(*order, "_tie"))
     out = ranged.withColumn("_number", number).join(sizes.select("_part", before.alias("_before")), "_part")
-    return out.withColumn("shard", F.floor((F.col("_before") + F.col("_number") - 1) / rows_per_shard)).drop("_part", "_number", "_before")
+    return out.withColumn("shard", F.floor((F.col("_before") + F.col("_number") - 1) / rows_per_shard)).drop("_part", "_tie", "_number", "_before")
 
 
 def in_both(a: DataFrame, b: DataFrame) -> DataFrame:

@@ -125,3 +125,9 @@ def test_intervals_of_any_length_against_brute_force(spark):
     assert sorted((r.p, r.s) for r in out.collect()) == want and out.columns == ["p", "x", "s", "lo", "hi"]
     assert "NestedLoop" not in out._jdf.queryExecution().toString() and "Cartesian" not in out._jdf.queryExecution().toString()
     assert relational.within(p.limit(0), s, "x", "lo", "hi").count() == 0 and relational.within(p, s.limit(0), "x", "lo", "hi").count() == 0
+
+
+def test_shards_of_rows_equal_in_the_order(spark):
+    df = spark.range(5000).select(F.lit(1).alias("k"), F.col("id"))
+    out = relational.numbered_shards(df, ["k"], 700)
+    assert sorted((r.shard, r.n) for r in out.groupBy("shard").agg(F.count("*").alias("n")).collect()) == [(i, 700) for i in range(7)] + [(7, 100)] and out.columns == ["k", "id", "shard"]

@@ -68,3 +68,23 @@ def test_pdf_pages(spark, tmp_path, rows):
         files = spark.read.format("binaryFile").load(str(tmp_path / "DS-1.PDF"))
         needed = spark.createDataFrame([("DS-1.PDF", 2), ("DS-1.PDF", 2), ("DS-1.PDF", 9), ("other", 1)], "pdf_name string, page int")
         assert rows(pdf.read_pages(files, needed)) == [("DS-1.PDF", 2, "Señorías, sí\nmesa")]
+
+
+def test_tasks_are_estimated_and_verified(spark, tmp_path, capsys):
+    import hashlib
+    import json
+    import zipfile
+
+    from almazara import cli
+
+    with zipfile.ZipFile(tmp_path / "a.zip", "w") as z:
+        z.writestr("x", "y")
+    data = (tmp_path / "a.zip").read_bytes()
+    tasks = [{"name": "a.zip", "url": "u", "bytes": len(data), "md5": hashlib.md5(data).hexdigest()}, {"name": "b.zip", "url": "u", "bytes": 5, "md5": None}, {"name": "c.zip", "url": "u", "bytes": None, "md5": None}]
+    (tmp_path / "tasks.jsonl").write_text("\n".join(map(json.dumps, tasks)))
+    df = spark.read.schema("name string, url string, bytes long, md5 string").json(str(tmp_path / "tasks.jsonl"))
+    assert cli.estimate(df, 10.0) == {"files": 3, "bytes": len(data) + 5, "unknown_sizes": 1, "seconds": round((len(data) + 5) / 10, 1)}
+    assert cli.main(["estimate", str(tmp_path / "tasks.jsonl"), "--max-files", "2"]) == 0 and "'files': 2" in capsys.readouterr().out
+    (tmp_path / "b.zip").write_bytes(data[:-9])
+    assert {r.name: r.status for r in cli.verified(df, str(tmp_path)).collect()} == {"a.zip": "sound", "b.zip": "unsound", "c.zip": "missing"}
+    assert cli.main(["verify", str(tmp_path / "tasks.jsonl"), str(tmp_path)]) == 1
