@@ -11,10 +11,10 @@
 4. The text is reflowed into paragraphs with the repairs applied.
 
 Counts cover all texts, and every occurrence carries its context from the page, so
-that pages are not met again. What is sent to every executor is bounded by
-construction: common furniture shapes, trusted words and vectors each hold at
-least a fixed share of all texts or words, so there can be only so many. The vectors
-alone are trained on a bounded sample of texts (``VECTOR_WORDS``).
+that pages are not met again. The vectors are trained on all texts. What is sent to
+every executor: common furniture shapes and trusted words, which each hold at least a
+fixed share of all texts or words, so there can be only so many, and the vectors of
+all words that stand ``TRUSTED_COUNT`` times, which grow with the vocabulary.
 """
 
 from __future__ import annotations
@@ -51,7 +51,7 @@ CANDIDATE_COUNT, RATIO = 3, 2.0
 LEAST_SUPPORT = 0.25
 #: How many times as frequent a look-alike must be where the context tells nothing.
 RATIO_ALONE = 1000.0
-#: Words of the sample of texts on which the vectors are trained.
+#: Words for which the training of the vectors takes a further part, up to one part for each core.
 VECTOR_WORDS = 1_000_000
 VECTOR_SIZE, WINDOW = 32, 4
 
@@ -334,19 +334,21 @@ class Vectors:
         return float(mean @ self.matrix[self.index[word]] / max(float(np.linalg.norm(mean)), 1e-9))
 
 
-def learn_vectors(pages: DataFrame, total_words: int) -> Vectors:
-    """Skip-gram vectors learnt from a sample of some ``VECTOR_WORDS`` words of whole texts, drawn by a hash of their words.
+def learn_vectors(pages: DataFrame, counts: DataFrame) -> Vectors:
+    """Skip-gram vectors learnt from all texts.
 
-    Words that stand ``TRUSTED_COUNT`` times in the sample have a vector; the
-    sample's size bounds how many those are.
+    ``counts``: word, n of all words of ``pages``. Words that stand
+    ``TRUSTED_COUNT`` times have a vector. The texts are dealt out to one part for
+    every ``VECTOR_WORDS`` words, but not more parts than cores; parts are trained side by
+    side from the same start and averaged.
     """
     from pyspark.ml.feature import Word2Vec
 
-    share = min(1.0, VECTOR_WORDS / max(total_words, 1))
-    sample = pages.where((F.size("words") > 1) & (F.pmod(F.xxhash64("words"), F.lit(10**15)) < int(share * 10**15))).select("words")
-    if sample.select(F.explode("words").alias("w")).groupBy("w").count().where(F.col("count") >= TRUSTED_COUNT).isEmpty():
+    total, most = counts.agg(F.sum("n"), F.max("n")).first()
+    if (most or 0) < TRUSTED_COUNT:
         return Vectors([], np.zeros((0, VECTOR_SIZE)))
-    model = Word2Vec(vectorSize=VECTOR_SIZE, windowSize=WINDOW, minCount=TRUSTED_COUNT, maxIter=1, numPartitions=1, stepSize=0.05, seed=7, inputCol="words", outputCol="v").fit(sample)
+    parts = max(1, min(pages.sparkSession.sparkContext.defaultParallelism, total // VECTOR_WORDS))
+    model = Word2Vec(vectorSize=VECTOR_SIZE, windowSize=WINDOW, minCount=TRUSTED_COUNT, maxIter=1, numPartitions=parts, stepSize=0.05, seed=7, inputCol="words", outputCol="v").fit(pages.select("words"))
     rows = model.getVectors().collect()
     return Vectors([r.word for r in rows], np.array([r.vector.toArray() for r in rows]).reshape(len(rows), VECTOR_SIZE))
 
@@ -475,7 +477,7 @@ def find_repairs(speeches: DataFrame) -> DataFrame:
     suspects = materialize(suspects, "suspects")
     joined = suspects.where(broken).join(names, F.col("raw") == F.col("_raw")).drop("_raw").join(f, F.col("word") == F.col("_word"), "left")
     loose = suspects.where(~broken).withColumn("word", F.col("raw")).join(f, F.col("word") == F.col("_word"))
-    vectors = learn_vectors(pages, total) if total else Vectors([], np.zeros((0, VECTOR_SIZE)))
+    vectors = learn_vectors(pages, each)
     told = joined.unionByName(loose).drop("_word").mapInPandas(_choose(vectors), "intervention_id long, kind string, raw string, fix string, at int")
     return lines.unionByName(materialize(told, "right"))
 

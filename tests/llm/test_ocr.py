@@ -129,6 +129,22 @@ def test_vectors_decide(spark, monkeypatch):
     assert run() == {(800, "todo"), (801, "todo")}
 
 
+def test_vectors_of_all_texts(spark, monkeypatch):
+    rng = random.Random(4)
+    wet, people = "agua barro charco río lluvia orilla pantano cieno".split(), "gente siempre vecinos plaza fiesta calle pueblo mercado".split()
+    texts = [" ".join(w for _ in range(12) for w in (rng.choice(topic), fix if rng.random() < 0.4 else rng.choice(topic))) for _ in range(1200) for topic, fix in ((wet, "lodo"), (people, "todo"))]
+    # Words of five texts only, one text of each word: a sample of texts would miss some.
+    texts += [f"agua barro {'único' + chr(97 + k) * 3} lluvia" for k in range(20) for _ in range(5)]
+    texts += ["agua barro lluvia 1odo charco río pantano", "gente vecinos plaza 1odo siempre calle fiesta"]
+    df = spark.createDataFrame(list(enumerate(texts)), "intervention_id int, speech_text string")
+    learn, seen = ocr.learn_vectors, []
+    monkeypatch.setattr(ocr, "learn_vectors", lambda *a: seen.append(learn(*a)) or seen[-1])
+    monkeypatch.setattr(ocr, "VECTOR_WORDS", 12_000)
+    found = {(r.intervention_id, r.fix) for r in ocr.find_repairs(df).where("kind = 'char'").collect()}
+    assert found == {(2500, "lodo"), (2501, "todo")}
+    assert set(seen[0].index) == {*wet, *people, "lodo", "todo", *("único" + chr(97 + k) * 3 for k in range(20))}
+
+
 def test_rare_misreadings_need_the_context(spark, monkeypatch):
     rng = random.Random(3)
     talk = "gobierno marco mercado consejo materia lectura ponencia recursos".split()
